@@ -16,7 +16,7 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 #: Column maps up to this many rows are broadcast; longer ones are joined by Spark's own choice.
 MAP_ROWS = 10_000
 
-_SQL_TYPE = {"integer": "decimal(38,0)", "decimal": "double", "date": "date", "boolean": "boolean", "string": "string"}
+_SQL_TYPE = {"integer": "decimal(38,0)", "decimal": "decimal(38,1)", "date": "date", "boolean": "boolean", "string": "string"}
 
 
 def _integer(v: Column) -> Column:
