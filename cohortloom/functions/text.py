@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 NO_ACCESSION = ("", "NA", "N/A", "NONE", "NULL", "-")
 
 #: White space that counts as outer white space of a value.
-SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85                 　"
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0               　"
 
 
 def strip(col: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import packing, tokens, topn, vectors
+from cohortloom.llm import packing, spam, tokens, topn, vectors
 from cohortloom.session import table
 
 PROFILE_SIZE, NEAR, LEAST_SIMILARITY, BEST = 48, 5, 0.9, 5
@@ -35,7 +35,15 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_containers(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p8_ids, p8_decoded, p9_containers, p9_fill)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.spam_pages(table(spark, sf_dir, "documents"))
+
+
+def p10_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.page_features(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p8_ids, p8_decoded, p9_containers, p9_fill, p10_found, p10_figures)}
 
 _PROFILES = """
 WITH p AS (
