@@ -73,7 +73,7 @@ def is_versioned(c: Column | str) -> Column:
 
 def split_list(c: Column | str) -> Column:
     """Trimmed items of a ``;`` list without the empty ones."""
-    return F.filter(F.transform(F.split(_col(c), ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(_col(c), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -30,7 +30,7 @@ def remote_files(reports: DataFrame, key: str) -> DataFrame:
     """
 
     def listed(prefix: str, submitted: bool) -> Column:
-        part = lambda c: F.transform(F.split(F.coalesce(F.col(f"{prefix}_{c}"), F.lit("")), ";"), F.trim)
+        part = lambda c: F.transform(F.split(F.coalesce(F.col(f"{prefix}_{c}"), F.lit("")), ";"), lambda x: F.trim(x))
         zipped = F.arrays_zip(part("ftp").alias("url"), part("md5").alias("md5"), part("bytes").alias("bytes"))
         return F.transform(zipped, lambda z: F.struct(z["url"].alias("url"), z["md5"].alias("md5"), z["bytes"].alias("bytes"), F.lit(submitted).alias("submitted")))
 

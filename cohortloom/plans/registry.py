@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.plans import problems, problems_sql
+from cohortloom.plans import matrices, problems, problems_sql, relational
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(problems.QUERIES)
+    return problems.QUERIES | relational.QUERIES | matrices.QUERIES
 
 
 def oracles() -> dict[str, str]:
-    return dict(problems_sql.ORACLES)
+    return problems_sql.ORACLES | relational.ORACLES | matrices.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems.p4_wide(spark, sf_dir)
+    return matrices.adjusted_corr_edges(spark, sf_dir)
