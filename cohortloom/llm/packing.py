@@ -57,11 +57,11 @@ class SumOfSquares:
         return container, level
 
 
-def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, total: int | None = None) -> DataFrame:
     """Assign every item to a container: ``key, piece_no, container_id, start_at, n_tokens``.
 
     Items go to shards by the hash of their key, about ``shard_items`` to each, so the number of shards
-    grows with the input; each shard is packed by itself, in order of the key, by the sum-of-squares
+    grows with the input (``total``, the number of items, is counted unless the caller knows it); each shard is packed by itself, in order of the key, by the sum-of-squares
     rule with a level array. Memory per task is the level array and the open containers' numbers.
 
     An item larger than ``capacity`` is cut: its full pieces fill a container each and the rest is an
@@ -69,7 +69,7 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, shard_
     Repeated keys are items of their own. Equal sizes and repeated runs give the same result. Other
     columns are ignored; an empty input gives no rows.
     """
-    shards = max(1, -(-items.count() // shard_items))
+    shards = max(1, -(-(items.count() if total is None else total) // shard_items))
     plain = items.select(F.col(key), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("n"))
     sharded = plain.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
     ordered = sharded.repartition(min(shards, 100_000), "shard").sortWithinPartitions("shard", key, "n")

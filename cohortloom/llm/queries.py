@@ -28,7 +28,8 @@ def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(tokens.count_tokens(table(spark, sf_dir, "documents")), "doc_id", "n_tokens")
+    documents = table(spark, sf_dir, "documents")
+    return packing.pack(tokens.count_tokens(documents), "doc_id", "n_tokens", total=documents.count())
 
 
 def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
