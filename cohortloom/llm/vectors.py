@@ -64,7 +64,7 @@ def usable(vector: str, size: int) -> Column:
     """Whether the vector has exactly ``size`` finite values that are not all equal."""
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return v.isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != v[0])
+    return v.isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != F.get(v, F.lit(0)))
 
 
 def _blocks(parts: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
     """
     spark = reps.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), curves)
-    maps = orderings(size, curves, dims, seed)
+    maps = orderings(size, curves, min(dims, size), seed)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
