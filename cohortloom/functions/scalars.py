@@ -91,7 +91,8 @@ def format_duration(seconds: Column | str) -> Column:
     s = F.floor(_col(seconds)).cast("long")
     pad = lambda x: F.lpad(x.cast("string"), 2, "0")
     hours = F.floor(s / 3600).cast("long")
-    return F.concat_ws(":", F.when(hours < 100, pad(hours)).otherwise(hours.cast("string")), pad(F.floor(F.pmod(s, F.lit(3600)) / 60).cast("long")), pad(F.pmod(s, F.lit(60))))
+    text = F.concat_ws(":", F.when(hours < 100, pad(hours)).otherwise(hours.cast("string")), pad(F.floor(F.pmod(s, F.lit(3600)) / 60).cast("long")), pad(F.pmod(s, F.lit(60))))
+    return F.when(s.isNotNull(), text)
 
 
 def parse_instant(c: Column | str) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.scalars import strip_version
+from cohortloom.operators.design import column_basis
 from cohortloom.operators.enrich import bh_adjust
 
 
@@ -87,13 +88,14 @@ def wald_test(vectors: DataFrame, sizes: np.ndarray, design: np.ndarray, contras
     """``gene_id, base_mean, log2_fold_change, lfc_se, stat, p_value, padj`` of a contrast of the design's coefficients.
 
     One negative binomial model per gene row ``gene_id, values``, with the moment estimate of the
-    dispersion of the normalised counts. Genes without counts have nulls. Each row is fit on its own,
+    dispersion of the normalised counts around the design's fit. Genes without counts have nulls. Each row is fit on its own,
     so genes spread over all tasks; what is broadcast has samples times coefficients.
     """
-    shared = vectors.sparkSession.sparkContext.broadcast((sizes, design, contrast))
+    shared = vectors.sparkSession.sparkContext.broadcast((sizes, design, contrast, column_basis(design)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, x, c = shared.value
+        size, x, c, q = shared.value
+        freedom = max(1, len(size) - q.shape[1])
         for batch in batches:
             out = []
             for values in batch.column(1).to_pylist():
@@ -103,7 +105,8 @@ def wald_test(vectors: DataFrame, sizes: np.ndarray, design: np.ndarray, contras
                 if mean <= 0:
                     out.append((0.0, None, None, None, None))
                     continue
-                alpha = max(1e-8, (float(norm.var(ddof=1)) - mean * float((1 / size).mean())) / mean**2)
+                rest = norm - q @ (q.T @ norm)
+                alpha = max(1e-8, (float(rest @ rest) / freedom - mean * float((1 / size).mean())) / mean**2)
                 beta, cov = _fit(y, x, np.log(size), alpha)
                 effect, se = float(c @ beta) / math.log(2), math.sqrt(max(float(c @ cov @ c), 0.0)) / math.log(2)
                 stat = effect / se if se > 0 else 0.0

@@ -106,8 +106,8 @@ def read_gmt(spark: SparkSession, path: str) -> DataFrame:
     """``pathway, description, gene_id`` of a gene-set file; blank genes are left out."""
     parts = F.split("value", "\t")
     rows = spark.read.text(path).where(F.size(parts) >= 3)
-    genes = F.explode(F.slice(parts, 3, F.size(parts) - 2))
-    return rows.select(parts[0].alias("pathway"), parts[1].alias("description"), F.trim(genes).alias("gene_id")).where("gene_id <> ''")
+    genes = F.transform(F.slice(parts, 3, F.size(parts) - 2), lambda g: F.trim(g))
+    return rows.select(parts[0].alias("pathway"), parts[1].alias("description"), F.explode(genes).alias("gene_id")).where("gene_id <> ''")
 
 
 def read_gene_list(spark: SparkSession, path: str) -> DataFrame:
