@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.session import fan_out
+
 #: Folder of the public vocabularies, unless a path is given.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.json"
@@ -202,7 +204,8 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
     Null and empty texts have an empty list; blank ones have the ids of their white space. The string
     of a special token in a text is ordinary text. Repeated rows each give a row; whole texts count,
-    however long, in time linear in their length. Other columns are ignored. No shuffle takes place.
+    however long, in time linear in their length. Other columns are ignored. No shuffle takes place, unless
+    the input has too few partitions to keep the slots busy.
     """
     automaton = shared_automaton(df, path)
 
@@ -217,7 +220,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
             lists = pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "ids"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
+    return fan_out(df.select(key, text)).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -234,7 +237,7 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
                 sizes.append(len(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(memoryview(sizes), pa.int64()) if len(sizes) else pa.array([], pa.int64())], names=[key, "n_tokens"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, n_tokens long")
+    return fan_out(df.select(key, text)).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, n_tokens long")
 
 
 def decode_ids(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
