@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import cut_lineage
+
 METHODS = ("pearson", "spearman", "kendall", "bicor", "hellcor")
 #: Bytes of one block's vectors, and the most rows it has.
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 512
@@ -48,10 +50,26 @@ def spearman_vectors(x: np.ndarray) -> np.ndarray:
     return pearson_vectors(ranks(x))
 
 
-def kendall_vectors(x: np.ndarray) -> np.ndarray:
-    """Unit vectors of the signs of all differences in a row: their products are Kendall's tau-b."""
+def kendall_signs(x: np.ndarray) -> np.ndarray:
+    """Signs of all differences in a row, a byte each: the cosine of two such rows is Kendall's tau-b."""
     i, j = np.triu_indices(x.shape[1], 1)
-    return _unit(np.sign(x[:, i] - x[:, j]))
+    out = np.empty((len(x), len(i)), np.int8)
+    for k, row in enumerate(x):
+        out[k] = np.sign(row[i] - row[j])
+    return out
+
+
+def sign_products(a: np.ndarray, b: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
+    """Cosines of rows of signs; the sums are whole numbers, so they are exact."""
+    total = np.zeros((len(a), len(b)))
+    na, nb = np.zeros(len(a)), np.zeros(len(b))
+    for start in range(0, a.shape[1], chunk):
+        x, y = a[:, start : start + chunk].astype(np.float32), b[:, start : start + chunk].astype(np.float32)
+        total += x @ y.T
+        na += np.abs(x).sum(1, dtype=np.float64)
+        nb += np.abs(y).sum(1, dtype=np.float64)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(np.outer(na, nb) > 0, total / np.sqrt(np.outer(na, nb)), np.nan)
 
 
 def bicor_vectors(x: np.ndarray) -> np.ndarray:
@@ -64,7 +82,7 @@ def bicor_vectors(x: np.ndarray) -> np.ndarray:
     return np.where(mad > 0, _unit((x - median) * np.where(mad > 0, w, 0.0)), pearson_vectors(x))
 
 
-_VECTORS: dict[str, Callable[[np.ndarray], np.ndarray]] = {"pearson": pearson_vectors, "spearman": spearman_vectors, "kendall": kendall_vectors, "bicor": bicor_vectors}
+_VECTORS: dict[str, Callable[[np.ndarray], np.ndarray]] = {"pearson": pearson_vectors, "spearman": spearman_vectors, "kendall": kendall_signs, "bicor": bicor_vectors}
 
 
 def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,8 +107,14 @@ def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows_of(block: bytes, rows: int) -> np.ndarray:
-    return np.frombuffer(block, np.float64).reshape(rows, -1)
+def _rows_of(block: bytes, rows: int, method: str) -> np.ndarray:
+    return np.frombuffer(block, np.int8 if method == "kendall" else np.float64).reshape(rows, -1)
+
+
+def _products(a: np.ndarray, b: np.ndarray, method: str) -> np.ndarray:
+    if method == "hellcor":
+        return hellinger_pairs(a, b)
+    return sign_products(a, b) if method == "kendall" else a @ b.T
 
 
 def blocks(vectors: DataFrame, method: str, width: int, gene: str = "gene_id") -> tuple[DataFrame, int]:
@@ -98,11 +122,11 @@ def blocks(vectors: DataFrame, method: str, width: int, gene: str = "gene_id") -
 
     A block holds a bounded number of rows; ``ord`` runs from 1 without gaps.
     """
-    length = width * (width - 1) // 2 if method == "kendall" else width
+    length = width * (width - 1) // 2 if method == "kendall" else 8 * width
     total = vectors.count()
     slots = max(2, vectors.sparkSession.sparkContext.defaultParallelism)
     even = max(16, -(-total // slots))  # at least as many blocks as slots, if there are rows for it
-    size = int(max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, 8 * length), even)))
+    size = int(max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, length), even)))
     make = _VECTORS.get(method)
     placed = vectors.select(F.floor((F.col("ord") - 1) / size).cast("int").alias("block"), "ord", gene, "values")
 
@@ -133,13 +157,17 @@ def pairwise(
     """
     if method not in METHODS:
         raise ValueError(f"unknown method: {method!r}")
+    kept = cut_lineage(vectors.select(gene, "ord", "values"))  # read three times: to count, and for either side
+    return _pairs(kept, method, width, top, least, positive, diagonal, gene)
+
+
+def _pairs(vectors: DataFrame, method: str, width: int, top: int | None = None, least: float | None = None, positive: bool = False, diagonal: bool = False, gene: str = "gene_id") -> DataFrame:
     built, count = blocks(vectors, method, width, gene)
     last = max(0, count - 1)
     left = built.select(F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(last))).alias("bj"), F.col("genes").alias("ga"), F.col("ords").alias("oa"), F.col("z").alias("za"))
     right = built.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi"), F.col("block").alias("bj"), F.col("genes").alias("gb"), F.col("ords").alias("ob"), F.col("z").alias("zb"))
     met = left.join(right, ["bi", "bj"]).select("bi", "bj", "ga", "oa", "za", "gb", "ob", "zb")
     kind = vectors.schema[gene].dataType.simpleString()
-    hell = method == "hellcor"
 
     def half(r: np.ndarray, side: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the ``top`` best of each row of ``r``."""
@@ -157,8 +185,8 @@ def pairwise(
             for m in batch.to_pylist():
                 oa, ob = np.array(m["oa"]), np.array(m["ob"])
                 ga, gb = np.array(m["ga"], object), np.array(m["gb"], object)
-                za, zb = _rows_of(m["za"], len(oa)), _rows_of(m["zb"], len(ob))
-                r = np.round(np.clip(hellinger_pairs(za, zb) if hell else za @ zb.T, -1.0, 1.0), DECIMALS) + 0.0
+                za, zb = _rows_of(m["za"], len(oa), method), _rows_of(m["zb"], len(ob), method)
+                r = np.round(np.clip(_products(za, zb, method), -1.0, 1.0), DECIMALS) + 0.0
                 same = m["bi"] == m["bj"]
                 picks: list[tuple] = []
                 if top is not None:
@@ -212,6 +240,8 @@ def parse_method(text: str) -> str:
 
 def correlate(vectors: DataFrame, method: str, output: str, width: int, gene: str = "gene_id") -> DataFrame:
     """Edges or the dense form by the texts of a configuration; at least two genes are needed."""
+    arguments = parse_output(output)
+    vectors = cut_lineage(vectors.select(gene, "ord", "values"))
     if vectors.limit(2).count() < 2:
         raise ValueError("correlation needs at least two genes")
-    return pairwise(vectors, parse_method(method), width, gene=gene, **parse_output(output))
+    return _pairs(vectors, parse_method(method), width, gene=gene, **arguments)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,24 +25,43 @@ def sample_order(long: DataFrame, sample: str = "sample_id") -> list:
     return [r[0] for r in long.select(sample).distinct().orderBy(sample).collect()]
 
 
+def _places(long: DataFrame, samples: list, sample: str) -> DataFrame:
+    """``sample, at``: the samples' places; as many rows as a gene's array has elements, so it may be broadcast."""
+    rows = [(s, i) for i, s in enumerate(samples)]
+    return F.broadcast(long.sparkSession.createDataFrame(rows, f"`{sample}` {long.schema[sample].dataType.simpleString()}, at int"))
+
+
 def to_vectors(long: DataFrame, samples: list, gene: str = "gene_id", sample: str = "sample_id", value: str = "value", missing: float | None = None) -> DataFrame:
     """``gene_id, values``: one array per gene in the order of ``samples``.
 
     A cell that is absent or null becomes ``missing``; without it a gene that lacks a cell is left out.
     Repeated cells are summed.
     """
-    place = F.create_map(*[x for i, s in enumerate(samples) for x in (F.lit(s), F.lit(i))])
-    cells = long.select(gene, place[F.col(sample)].alias("at"), F.col(value).cast("double").alias("v")).where(F.col("at").isNotNull())
-    by_place = cells.groupBy(gene, "at").agg(F.sum("v").alias("v")).groupBy(gene).agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("m"))
-    fill = F.lit(missing) if missing is not None else F.lit(None).cast("double")
-    row = F.transform(F.sequence(F.lit(0), F.lit(len(samples) - 1)), lambda i: F.coalesce(F.col("m")[i], fill))
-    out = by_place.select(gene, row.alias("values"))
-    return out if missing is not None else out.where(~F.exists("values", lambda x: x.isNull()))
-
-
-def to_long(vectors: DataFrame, samples: list, gene: str = "gene_id") -> DataFrame:
-    names = F.array(*[F.lit(s) for s in samples])
-    return vectors.select(gene, F.posexplode("values").alias("at", "value")).select(gene, F.try_element_at(names, F.col("at") + 1).alias("sample_id"), "value")
+    cells = long.select(gene, sample, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull()).join(_places(long, samples, sample), sample)
+    summed = cells.groupBy(gene, "at").agg(F.sum("v").alias("v"))
+    rows = summed.groupBy(gene).agg(F.collect_list("at").alias("at"), F.collect_list("v").alias("v"))
+    if missing is None:
+        rows = rows.where(F.size("at") == len(samples))
+    width, fill = len(samples), np.nan if missing is None else float(missing)
+
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, v = batch.column("at"), batch.column("v")
+            grid = np.full((batch.num_rows, width), fill)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at.offsets.to_numpy()))
+            grid[row, at.flatten().to_numpy()] = v.flatten().to_numpy()
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width)
+            yield pa.RecordBatch.from_arrays([batch.column(gene), pa.ListArray.from_arrays(offsets, pa.array(grid.ravel()))], names=[gene, "values"])
+
+    return rows.mapInArrow(scatter, f"`{gene}` {long.schema[gene].dataType.simpleString()}, values array<double>")
+
+
+def to_long(vectors: DataFrame, samples: list, gene: str = "gene_id", kind: str | None = None) -> DataFrame:
+    """The cells ``gene_id, sample_id, value`` of vectors."""
+    if kind is None:
+        kind = "string" if samples and isinstance(samples[0], str) else "long"
+    names = F.broadcast(vectors.sparkSession.createDataFrame(list(enumerate(samples)), f"at int, sample_id {kind}"))
+    return vectors.select(gene, F.posexplode("values").alias("at", "value")).join(names, "at").select(gene, "sample_id", "value")
 
 
 def gene_stats(long: DataFrame, gene: str = "gene_id") -> DataFrame:

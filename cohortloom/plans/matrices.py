@@ -111,7 +111,7 @@ def geneset_regex(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {_VECTORS} SELECT gene_id, sample_id, value FROM mx")
 def matrix_long(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("gene_id"), F.transform("embedding", lambda x: x.cast("double")).alias("values"))
-    return matrix.to_long(rows, list(range(VECTOR_SIZE))).withColumn("sample_id", F.col("sample_id").cast("long"))
+    return matrix.to_long(rows, list(range(VECTOR_SIZE)))
 
 
 @query("SELECT p_brand AS gene_id, sum(l_quantity) FILTER (l_returnflag = 'A') AS A, sum(l_quantity) FILTER (l_returnflag = 'N') AS N, sum(l_quantity) FILTER (l_returnflag = 'R') AS R FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")

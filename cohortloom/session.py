@@ -54,3 +54,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once to the reliable checkpoint folder and read back from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def fan_out(df: DataFrame) -> DataFrame:
+    """``df`` over all slots if its partitions would leave half of them idle, else as it is.
+
+    For work that is heavy per row. Only inputs smaller than a split for each slot are moved; a large
+    table already has more partitions than that and is not shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() * 2 <= slots else df
