@@ -28,22 +28,26 @@ def mutual_edges(vectors: DataFrame, width: int, k: int, gene: str = "gene_id")
 def components(edges: DataFrame, a: str = "ord_a", b: str = "ord_b") -> DataFrame:
     """``node, component`` for every node of an undirected graph; the component is its smallest node.
 
-    Each round every node takes the smallest label among its neighbours, then the label of its label,
-    so labels cross long chains in few rounds. Rounds are cut by a written checkpoint. The number of
-    changed labels is all that reaches the driver.
+    Nodes have a random rank, the hash of their id, so that even long paths of ordered ids have a
+    smallest rank every few nodes. Nodes with one label are a tree. Each round every tree takes the
+    smallest label next to any of its nodes, the trees' new labels are followed two more steps, and all
+    nodes take their tree's. The number of trees falls by a factor each round. Rounds are cut by a
+    written checkpoint; whether any label changed is all that reaches the driver.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    both = cut_lineage(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    ranked = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
+    ends = edges.select(ranked(a).alias("u"), ranked(b).alias("v")).where("u <> v")
+    both = cut_lineage(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")))
     for _ in range(MAX_ROUNDS):
-        seen = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        hop = labels.join(seen, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = hop.select(F.col("u").alias("label"), F.col("label").alias("next"))
-        new = cut_lineage(hop.join(jump, "label", "left").select("u", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
-        changed = new.where("old <> label").limit(1).count()
-        labels = new.select("u", "label")
-        if not changed:
-            return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
+        near = both.join(labels.select(F.col("u").alias("v"), F.col("label").alias("near")), "v").join(labels, "u")
+        trees = cut_lineage(near.groupBy("label").agg(F.least(F.col("label"), F.min("near")).alias("to")))
+        if not trees.where("`to` <> label").limit(1).count():
+            smallest = labels.groupBy("label").agg(F.min("u.n").alias("component"))
+            return labels.join(smallest, "label").select(F.col("u.n").alias("node"), "component")
+        for _ in range(2):
+            on = trees.select(F.col("label").alias("to"), F.col("to").alias("next"))
+            trees = trees.join(on, "to", "left").select("label", F.least("to", F.coalesce("next", "to")).alias("to"))
+        labels = cut_lineage(labels.join(trees, "label").select("u", F.col("to").alias("label")))
     raise RuntimeError("components did not settle")
 
 

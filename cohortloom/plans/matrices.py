@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import annotate, design, enrich, matrix, modules, normalize
 from cohortloom.operators.correlate import correlate, pairwise
-from cohortloom.session import table
+from cohortloom.session import cut_lineage, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -265,7 +265,7 @@ def gene_table_annotated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mutual(spark: SparkSession, sf: str) -> DataFrame:
-    return modules.mutual_edges(_embedding_vectors(spark, sf), VECTOR_SIZE, MODULE_NEIGHBOURS)
+    return cut_lineage(modules.mutual_edges(_embedding_vectors(spark, sf), VECTOR_SIZE, MODULE_NEIGHBOURS))
 
 
 _MUTUAL = f"""
@@ -295,7 +295,7 @@ def module_components(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
-    members = modules.modules(_mutual(spark, sf), min_size=2)
+    members = cut_lineage(modules.modules(_mutual(spark, sf), min_size=2))
     connected = modules.component_connectivity(_embedding_vectors(spark, sf), members, VECTOR_SIZE)
     return modules.ranked_modules(members, connected, top=20)
 
