@@ -14,8 +14,9 @@ from cohortloom.session import cut_lineage
 
 #: Orderings, projected dimensions and bits of each; rows of a window, which is compared with itself and the next.
 CURVES, DIMS, BITS, WINDOW = 16, 10, 6, 256
-#: Candidates of a row beyond k that one window passes on.
-SPARE = 5
+#: Candidates of a row beyond k that one window passes on, and how far below the least similarity one may
+#: be. Both make up for the two-byte floats in which the vectors travel; what is passed on is reranked exactly.
+SPARE, SLACK = 11, 1e-3
 #: Standard deviations of a projected coordinate that the grid covers on each side.
 REACH = 3.0
 
@@ -99,7 +100,7 @@ def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: floa
     sims = z[:own] @ z.T
     sims[np.arange(own), np.arange(own)] = -2.0
     sims[np.tril_indices(own)] = -2.0  # each pair once
-    floor = -1.5 if least is None else least - 1e-4
+    floor = -1.5 if least is None else least - SLACK
     a, b = np.nonzero(sims >= floor)
     if not len(a):
         return a, b
@@ -136,7 +137,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
                 if not batch.num_rows:
                     continue
                 z = _as_matrix(batch.column("z"), np.float64).astype(np.float32)
-                short = pa.array([row.tobytes() for row in z], pa.binary())
+                short = pa.array([row.tobytes() for row in z.astype(np.float16)], pa.binary())
                 for c, (basis, shift) in enumerate(maps):
                     spot = (z @ basis) * np.float32(np.sqrt(size)) / np.float32(2 * REACH) + np.float32(0.25) + shift / 2
                     cells = np.clip(spot * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
@@ -155,7 +156,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
             return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
 
         for block in _blocks(batches, window):
-            here = (block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float32))
+            here = (block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float16).astype(np.float32))
             if last is not None:
                 yield pairs(last, here)
             last = here
