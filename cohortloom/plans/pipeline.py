@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators import annotate, design, enrich, matrix, modules
@@ -44,8 +44,9 @@ def run_correlation(
 ) -> CorrelationResult:
     """Select genes, remove covariates, correlate; with gene sets also find modules and their enrichment.
 
-    ``long`` has ``gene_id, sample_id, value``. Gene sets need Spearman's correlation, at least two
-    genes and three samples.
+    ``long`` has ``gene_id, sample_id, value``. Chosen genes that lack a cell are left out, and the
+    others numbered in their order without gaps, as the blocks of pairs need it. Gene sets need
+    Spearman's correlation, at least two genes and three samples.
     """
     samples = matrix.sample_order(long, sample)
     chosen = matrix.select_genes(long, config.geneset, genes)
@@ -53,7 +54,9 @@ def run_correlation(
         raise ValueError("modules need at least three samples")
     vectors = matrix.to_vectors(matrix.subset(long, chosen), samples, sample=sample)
     adjusted = design.adjust(vectors, sheet, samples, config.formula, sample, config.adjust)
-    ordered = cut_lineage(adjusted.join(chosen.select("gene_id", F.col("place").alias("ord")), "gene_id"))
+    placed = cut_lineage(adjusted.join(chosen.select("gene_id", "place"), "gene_id"))
+    order = placed.select("gene_id", F.row_number().over(Window.orderBy("place")).cast("long").alias("ord"))
+    ordered = placed.drop("place").join(order, "gene_id")
     method = "spearman" if gene_sets is not None else config.method
     edges = correlate(ordered, method, config.output, len(samples))
     if annotation is not None:

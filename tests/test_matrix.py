@@ -156,3 +156,20 @@ def test_pipeline(spark):
     best = out.enrichment.where("padj < 0.05 and es > 0").collect()
     assert len({r.module_id for r in best}) == 3
     assert out.tstats.select(F.max("t")).first()[0] > 5
+
+
+def test_pipeline_compares_all_complete_genes(spark, monkeypatch):
+    from cohortloom.plans.pipeline import CorrelationConfig, run_correlation
+
+    monkeypatch.setattr(C, "BLOCK_ROWS", 7)
+    x = np.random.default_rng(4).normal(size=(40, 8))
+    absent, null = {1: 0, 2: 3, 9: 7, 16: 1, 17: 2}, {4: 5, 23: 0, 24: 6, 31: 4}
+    cells = [(f"g{i:02d}", f"s{j}", None if null.get(i) == j else float(x[i, j])) for i in range(40) for j in range(8) if absent.get(i) != j]
+    long = spark.createDataFrame(cells, "gene_id string, sample_id string, value double")
+    sheet = spark.createDataFrame([(f"s{j}",) for j in range(8)], "sample_id string")
+    config = CorrelationConfig(geneset="all", adjust="none", output="edges:threshold=0")
+    got = {(r.gene_a, r.gene_b): (r.ord_a, r.ord_b, r.r) for r in run_correlation(long, sheet, config).edges.collect()}
+    whole = [i for i in range(40) if i not in absent and i not in null]
+    want = np.corrcoef(x[whole])
+    assert set(got) == {(f"g{a:02d}", f"g{b:02d}") for n, a in enumerate(whole) for b in whole[n + 1 :]}
+    assert all(got[f"g{a:02d}", f"g{b:02d}"] == (m + 1, n + 1, pytest.approx(want[m, n], abs=1e-8)) for m, a in enumerate(whole) for n, b in enumerate(whole) if m < n)
