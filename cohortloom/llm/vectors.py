@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,41 +92,58 @@ def _as_matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(data, kind).reshape(len(column), -1)
 
 
-def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs between the first ``own`` rows and all rows of a window, at most ``k`` per row.
+def _first(sims: np.ndarray, k: int) -> np.ndarray:
+    """Which ``k`` of each row's columns are the best, by similarity, then by place."""
+    limit = np.partition(sims, -k, axis=1)[:, -k, None]
+    tied = sims == limit
+    return (sims > limit) | (tied & (np.cumsum(tied, axis=1) <= k - (sims > limit).sum(1, keepdims=True)))
 
-    The rows are those of one block and the next. A pair stays if it is among the ``k`` best of either
-    of its rows in this window, by similarity to six places, then by key.
-    """
-    sims = z[:own] @ z.T
-    sims[np.arange(own), np.arange(own)] = -2.0
-    sims[np.tril_indices(own)] = -2.0  # each pair once
+
+def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs of the first ``own`` rows with the ``k`` best of all rows for each, by similarity to six places, then by key."""
+    order = np.argsort(keys, kind="stable")
+    sims = z[:own] @ z[order].T
+    sims[order.argsort()[:own][:, None] == np.arange(len(keys))] = -2.0
     floor = -1.5 if least is None else least - SLACK
-    a, b = np.nonzero(sims >= floor)
-    if not len(a):
-        return a, b
-    s = np.round(sims[a, b], 6)
-    side_row, side_other = np.concatenate([a, b]), np.concatenate([b, a])
-    both = np.concatenate([s, s])
-    crowded = np.bincount(side_row, minlength=len(z)) > k
-    keep = ~crowded[side_row]
+    keep = sims >= floor
+    crowded = keep.sum(1) > k
     if crowded.any():
-        part = np.flatnonzero(crowded[side_row])
-        order = part[np.lexsort((keys[side_other[part]], -both[part], side_row[part]))]
-        rows = side_row[order]
-        start = np.ones(len(order), bool)
-        start[1:] = rows[1:] != rows[:-1]
-        here = np.arange(len(order))
-        keep[order[here - np.maximum.accumulate(np.where(start, here, 0)) < k]] = True
-    keep = keep[: len(a)] | keep[len(a) :]
-    return a[keep], b[keep]
+        keep[crowded] &= _first(np.round(sims[crowded], 6), k)
+    a, b = np.nonzero(keep)
+    return a, order[b]
+
+
+class _Head:
+    """The first rows, hence those with the smallest keys, of the cell at the end of the blocks seen so far."""
+
+    def __init__(self, rows: int) -> None:
+        self.rows, self.cell, self.begin, self.keys, self.z = rows, None, 0, np.empty(0, np.int64), np.empty((0, 0))
+
+    def see(self, cells: np.ndarray, keys: np.ndarray, z: np.ndarray, start: int) -> None:
+        """Take in the block whose first row is row ``start`` of the task."""
+        first = int(np.argmax((cells == cells[-1]).all(1)))
+        if first == 0 and self.cell is not None and (self.cell == cells[-1]).all():
+            need = self.rows - len(self.keys)
+            if need > 0:
+                self.keys, self.z = np.concatenate([self.keys, keys[:need]]), np.concatenate([self.z, z[:need]])
+        else:
+            self.cell, self.begin, self.keys, self.z = cells[-1], start + first, keys[first : first + self.rows], z[first : first + self.rows]
+
+    def before(self, cell: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Those of the rows before row ``start``, if ``cell`` is theirs."""
+        if self.cell is None or self.begin >= start or (self.cell != cell).any():
+            return None
+        return self.keys[: start - self.begin], self.z[: start - self.begin]
 
 
 def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, curves: int = CURVES, dims: int = DIMS, bits: int = BITS, window: int = WINDOW, seed: int = 11) -> DataFrame:
     """Candidate pairs ``a < b`` of ``key, z`` rows (``z``: unit vectors as binary doubles).
 
     For each curve the vectors are projected and ordered by their Hilbert key, range-partitioned in
-    Spark by (curve, key) and sorted; neighbouring windows of the order are compared as matrices.
+    Spark by (curve, key) and sorted; each window of the order is compared with itself, the one before
+    and the next as matrices. Rows of a cell are ordered by key on every curve, so a cell of more than
+    a few windows, as many close copies make it, would always show a row the same others; its rows are
+    compared with the cell's first window too, whose keys win all ties.
     """
     spark = reps.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), curves)
@@ -146,26 +164,32 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
                     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[np.ndarray, np.ndarray] | None = None
-
-        def pairs(own: tuple[np.ndarray, np.ndarray], nxt: tuple[np.ndarray, np.ndarray] | None) -> pa.RecordBatch:
-            keys = np.concatenate([own[0], nxt[0]]) if nxt else own[0]
-            z = np.concatenate([own[1], nxt[1]]) if nxt else own[1]
-            a, b = _window_pairs(keys, z, len(own[0]), k + SPARE, least)
+        head = _Head(window)
+        prev = own = None
+        start = 0  # of prev
+
+        def pairs(nxt: tuple[np.ndarray, ...] | None) -> pa.RecordBatch:
+            parts = [own[1:], prev and prev[1:], nxt and nxt[1:], head.before(own[0][0], start)]
+            keys, z = (np.concatenate(x) for x in zip(*(p for p in parts if p), strict=True))
+            a, b = _window_pairs(keys, z, len(own[1]), k + SPARE, least)
             lo, hi = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
             return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
 
-        for block in _blocks(batches, window):
-            here = (block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float16).astype(np.float32))
-            if last is not None:
-                yield pairs(last, here)
-            last = here
-        if last is not None:
-            yield pairs(last, None)
+        for block in chain(_blocks(batches, window), [None]):
+            here = None
+            if block is not None:
+                cells = np.column_stack([block.column("curve").to_numpy().astype(np.int64), block.column("spot").to_numpy()])
+                here = (cells, block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float16).astype(np.float32))
+            if own is not None:
+                yield pairs(here)
+                behind = len(prev[1]) if prev is not None else 0
+                head.see(*own, start + behind)
+                start += behind
+            prev, own = own, here
 
     placed = reps.select("key", "z").mapInArrow(place, "curve int, spot long, key long, z binary")
     ordered = placed.repartitionByRange(parts, "curve", "spot").sortWithinPartitions("curve", "spot", "key")
-    return ordered.select("key", "z").mapInArrow(compare, "a long, b long").where("a <> b").distinct()
+    return ordered.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
 def _unit(vectors: DataFrame) -> DataFrame:

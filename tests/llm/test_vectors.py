@@ -71,3 +71,25 @@ def test_ties_take_the_smaller_key(spark):
     for r in V.nearest(df, "row_key", "row_values", 4, 3).collect():
         got.setdefault(r.key, []).append((r.rank_no, r.other, r.sim))
     assert [o for _, o, _ in sorted(got[9])] == [1, 2, 3] and [o for _, o, _ in sorted(got[2])] == [1, 3, 5]
+
+
+def found_and_wanted(spark, keys, x):
+    """Pairs found and those of brute force, with k = 5 and at least 0.9."""
+    by_key = np.argsort(keys)
+    z = x[by_key] - x[by_key].mean(1, keepdims=True)
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    s = np.round(z @ z.T, 6)
+    np.fill_diagonal(s, -2.0)
+    near = np.argsort(-s, axis=1, kind="stable")[:, :5]
+    at = np.sort(keys)
+    want = {(min(at[i], at[j]), max(at[i], at[j])) for i in range(len(at)) for j in near[i] if s[i, j] >= 0.9}
+    df = spark.createDataFrame([(int(k), v.tolist(), "a", "b") for k, v in zip(keys, x, strict=True)], SCHEMA)
+    return {tuple(r) for r in V.neighbour_pairs(V.nearest(df, "row_key", "row_values", 48, 5, 0.9)).collect()}, want
+
+
+def test_scaled_copies_take_the_smallest_keys(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 48))
+    x[400:] = x[0] * rng.uniform(0.5, 5, (2600, 1)) + rng.uniform(-3, 3, (2600, 1))
+    got, want = found_and_wanted(spark, rng.permutation(9000)[:3000], x)
+    assert len(want) > 12000 and got == want
