@@ -15,9 +15,9 @@ from cohortloom.session import cut_lineage
 
 #: Orderings, projected dimensions and bits of each; rows of a window, which is compared with itself and the next.
 CURVES, DIMS, BITS, WINDOW = 16, 10, 6, 256
-#: Candidates of a row beyond k that one window passes on, and how far below the least similarity one may
-#: be. Both make up for the two-byte floats in which the vectors travel; what is passed on is reranked exactly.
-SPARE, SLACK = 11, 1e-3
+#: How far a similarity may be off by the four-byte floats in which the vectors travel (twice half a unit of
+#: the last place), and how much more by a product in them. What a window passes on is reranked exactly.
+ERROR, SLACK = 1.3e-7, 1e-5
 #: Standard deviations of a projected coordinate that the grid covers on each side.
 REACH = 3.0
 
@@ -92,23 +92,32 @@ def _as_matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(data, kind).reshape(len(column), -1)
 
 
-def _first(sims: np.ndarray, k: int) -> np.ndarray:
-    """Which ``k`` of each row's columns are the best, by similarity, then by place."""
-    limit = np.partition(sims, -k, axis=1)[:, -k, None]
-    tied = sims == limit
-    return (sims > limit) | (tied & (np.cumsum(tied, axis=1) <= k - (sims > limit).sum(1, keepdims=True)))
+def _first(low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """Which columns of each row, between ``low`` and ``high``, can be among its ``k`` best, by similarity, then by place: all that ``k`` others do not surely precede."""
+    limit = np.partition(low, -k, axis=1)[:, -k, None]
+    missing = k - (low > limit).sum(1, keepdims=True)
+    last = np.argmax(np.cumsum(low == limit, axis=1) == missing, axis=1)[:, None]
+    return (high > limit) | ((high == limit) & (np.arange(low.shape[1]) <= last))
 
 
 def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs of the first ``own`` rows with the ``k`` best of all rows for each, by similarity to six places, then by key."""
+    """Positions of pairs of the first ``own`` rows with all that can be among the ``k`` best of all rows for each.
+
+    Ranks are by similarity to six places, then by key. A row with more than ``k`` similar ones is
+    compared again in doubles; then only the rounding of the vectors is left, and of those which it
+    leaves undecided none is cut.
+    """
     order = np.argsort(keys, kind="stable")
+    self_ = order.argsort()[:own][:, None] == np.arange(len(keys))
     sims = z[:own] @ z[order].T
-    sims[order.argsort()[:own][:, None] == np.arange(len(keys))] = -2.0
+    sims[self_] = -2.0
     floor = -1.5 if least is None else least - SLACK
     keep = sims >= floor
-    crowded = keep.sum(1) > k
-    if crowded.any():
-        keep[crowded] &= _first(np.round(sims[crowded], 6), k)
+    crowded = np.flatnonzero(keep.sum(1) > k)
+    if len(crowded):
+        exact = z[crowded].astype(np.float64) @ z[order].T.astype(np.float64)
+        exact[self_[crowded]] = -2.0
+        keep[crowded] &= _first(np.round(exact - ERROR, 6), np.round(exact + ERROR, 6), k)
     a, b = np.nonzero(keep)
     return a, order[b]
 
@@ -155,7 +164,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
                 if not batch.num_rows:
                     continue
                 z = _as_matrix(batch.column("z"), np.float64).astype(np.float32)
-                short = pa.array([row.tobytes() for row in z.astype(np.float16)], pa.binary())
+                short = pa.array([row.tobytes() for row in z], pa.binary())
                 for c, (basis, shift) in enumerate(maps):
                     spot = (z @ basis) * np.float32(np.sqrt(size)) / np.float32(2 * REACH) + np.float32(0.25) + shift / 2
                     cells = np.clip(spot * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
@@ -171,7 +180,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
         def pairs(nxt: tuple[np.ndarray, ...] | None) -> pa.RecordBatch:
             parts = [own[1:], prev and prev[1:], nxt and nxt[1:], head.before(own[0][0], start)]
             keys, z = (np.concatenate(x) for x in zip(*(p for p in parts if p), strict=True))
-            a, b = _window_pairs(keys, z, len(own[1]), k + SPARE, least)
+            a, b = _window_pairs(keys, z, len(own[1]), k, least)
             lo, hi = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
             return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
 
@@ -179,7 +188,7 @@ def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, cu
             here = None
             if block is not None:
                 cells = np.column_stack([block.column("curve").to_numpy().astype(np.int64), block.column("spot").to_numpy()])
-                here = (cells, block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float16).astype(np.float32))
+                here = (cells, block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float32))
             if own is not None:
                 yield pairs(here)
                 behind = len(prev[1]) if prev is not None else 0

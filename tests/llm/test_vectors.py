@@ -93,3 +93,25 @@ def test_scaled_copies_take_the_smallest_keys(spark):
     x[400:] = x[0] * rng.uniform(0.5, 5, (2600, 1)) + rng.uniform(-3, 3, (2600, 1))
     got, want = found_and_wanted(spark, rng.permutation(9000)[:3000], x)
     assert len(want) > 12000 and got == want
+
+
+def test_copies_that_differ_by_rounding(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 48))
+    x[400:] = x[0] * rng.uniform(0.5, 5, (2600, 1)) + rng.uniform(-3, 3, (2600, 1))
+    got, want = found_and_wanted(spark, rng.permutation(9000)[:3000], np.round(x, 4))
+    assert len(got & want) >= 0.99 * len(want) and len(got - want) <= 0.01 * len(want)
+
+
+def test_close_replicates_are_ranked_exactly(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 48))
+    x[100:] = x[0] + rng.normal(scale=0.005, size=(500, 48))
+    got, want = found_and_wanted(spark, rng.permutation(5000)[:600], x)
+    assert len(got & want) >= 0.99 * len(want) and len(got - want) <= 0.01 * len(want)
+
+
+def test_windows_cut_nothing_that_rounding_leaves_undecided():
+    low, high = np.array([[0.95, 0.91, 0.91, 0.90, 0.90]]), np.array([[0.95, 0.92, 0.91, 0.91, 0.90]])
+    assert V._first(low, high, 2).tolist() == [[True, True, False, False, False]]
+    assert V._first(low[:, ::-1], high[:, ::-1], 2).tolist() == [[False, True, True, True, True]]
