@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.scalars import accession_kind, basename, blank_to_null, file_kind, first_match
 from cohortloom.functions.text import accession
+from cohortloom.operators.eav import MAP_ROWS
 from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
 
 #: Columns that a predicate may name directly; any other field is looked up in the metadata.
@@ -214,10 +215,13 @@ def samplesheet(runs: DataFrame, metadata: DataFrame, column_map: DataFrame, rea
     """One row per run with condition and batch from its metadata, directly or through the column map.
 
     The first mapped source column in order of its name that the run has a value for counts. The column
-    map is a configuration table; its pairs become literals.
+    map is a configuration table; its pairs become literals, and longer ones are refused.
     """
     mapped: dict[str, list[str]] = {"condition": [], "batch": []}
-    for r in column_map.where(F.col("canonical_field").isin(*mapped)).select("canonical_field", "source_column").distinct().limit(10_000).collect():
+    rows = column_map.where(F.col("canonical_field").isin(*mapped)).select("canonical_field", "source_column").distinct().limit(MAP_ROWS + 1).collect()
+    if len(rows) > MAP_ROWS:
+        raise ValueError(f"the column map has more than {MAP_ROWS} source columns of condition and batch")
+    for r in rows:
         mapped[r[0]].append(r[1])
     out = runs.select("project_id", "study_accession", accession("run_accession").alias("run_accession"), "library_layout").dropDuplicates(["run_accession"])
     out = out.join(metadata, "run_accession", "left")

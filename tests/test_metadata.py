@@ -91,3 +91,12 @@ def test_samplesheet_prefers_the_direct_field(spark):
     md = spark.createDataFrame([("R1", {"condition": "c", "grp": "g", "lane": "7"}), ("R2", {"grp": "g"})], "run_accession string, metadata map<string,string>")
     rows = {r.run_accession: (r.condition, r.batch) for r in M.samplesheet(runs(spark, [("R1", "S", None), ("R2", "S", None), ("R3", "S", None), ("r3 ", "S", None)]), md, cm).collect()}
     assert rows == {"R1": ("c", "7"), "R2": ("g", None), "R3": (None, None)}
+
+
+def test_samplesheet_refuses_a_longer_map(spark, monkeypatch):
+    cm = spark.range(10_001).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("source_column"), F.lit("batch").alias("canonical_field"))
+    md = spark.createDataFrame([("R1", {"c1": "b"})], "run_accession string, metadata map<string,string>")
+    with pytest.raises(ValueError, match="more than 10000"):
+        M.samplesheet(runs(spark, [("R1", "S", None)]), md, cm)
+    monkeypatch.setattr(M, "MAP_ROWS", 3)
+    assert M.samplesheet(runs(spark, [("R1", "S", None)]), md, cm.limit(3)).first().batch == "b"
