@@ -310,6 +310,15 @@ def module_eigengenes(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(modules.eigengenes(_ranked(spark, sf), _embedding_long(spark, sf)), "value").withColumn("sample_id", F.col("sample_id").cast("long"))
 
 
+@query()
+def module_members_usual(spark: SparkSession, sf: str) -> DataFrame:
+    """Modules with the operators' usual settings (20 neighbours, least size 25, top 500), where one component has nearly all genes."""
+    vectors = cut_lineage(_embedding_vectors(spark, sf))
+    edges = cut_lineage(modules.mutual_edges(vectors, VECTOR_SIZE, modules.neighbour_count(vectors.count())))
+    members = cut_lineage(modules.modules(edges))
+    return modules.ranked_modules(members, modules.component_connectivity(vectors, members, VECTOR_SIZE)).withColumn("connectivity", F.round("connectivity", 5))
+
+
 @query(
     f"""WITH {_VECTORS}, {_RANKED}, prof AS (SELECT 'L' || label AS module_id, sample_id, avg(value) AS value FROM mx JOIN embeddings ON gene_id = vec_id GROUP BY ALL),
 pr AS (SELECT module_id, sample_id, rank() OVER (PARTITION BY module_id ORDER BY value) + (count(*) OVER (PARTITION BY module_id, value) - 1) / 2.0 AS value FROM prof),

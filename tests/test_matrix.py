@@ -173,3 +173,27 @@ def test_pipeline_compares_all_complete_genes(spark, monkeypatch):
     want = np.corrcoef(x[whole])
     assert set(got) == {(f"g{a:02d}", f"g{b:02d}") for n, a in enumerate(whole) for b in whole[n + 1 :]}
     assert all(got[f"g{a:02d}", f"g{b:02d}"] == (m + 1, n + 1, pytest.approx(want[m, n], abs=1e-8)) for m, a in enumerate(whole) for n, b in enumerate(whole) if m < n)
+
+
+def test_modules_with_the_usual_settings(spark, sf_dir):
+    from cohortloom.plans import registry
+    from cohortloom.session import table as read
+
+    rows = read(spark, sf_dir, "embeddings").orderBy("vec_id").collect()
+    z = C.spearman_vectors(np.array([r.embedding for r in rows], float))
+    r = np.round(z @ z.T, C.DECIMALS)
+    np.fill_diagonal(r, -2.0)
+    near = np.zeros(r.shape, bool)
+    np.put_along_axis(near, np.argsort(-r, axis=1, kind="stable")[:, : min(20, len(r) - 1)], True, 1)
+    near &= (r > 0) & near.T & (r.T > 0)
+    label = np.arange(len(r))
+    for _ in range(len(r)):
+        label = np.minimum(label, np.where(near, label[None, :], len(r)).min(1))
+    want = {}
+    for c in set(label):
+        inside = np.flatnonzero(label == c)
+        if len(inside) >= 25:
+            score = np.maximum(r[np.ix_(inside, inside)], 0).sum(1)
+            want |= {rows[inside[i]].vec_id: (min(500, len(inside)), pytest.approx(score[i], abs=2e-5)) for i in np.argsort(-score)[:500]}
+    got = {m.gene: (m.module_size, m.connectivity) for m in registry.queries()["module_members_usual"](spark, sf_dir).collect()}
+    assert want and got == want
