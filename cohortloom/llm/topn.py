@@ -10,8 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import cut_lineage
+
 #: Rows that a task gathers before it drops those under their group's bound.
 GATHER_ROWS = 1 << 18
+#: Bounds that are broadcast: those of the groups with the most kept rows. The other groups, each with
+#: fewer rows than any of these, meet their bound behind the shuffle.
+LISTED_GROUPS = 1 << 16
 
 
 class LocalBest:
@@ -20,7 +25,7 @@ class LocalBest:
     def __init__(self, n: int) -> None:
         self.n = n
         self.rows: list[pa.Table] = []
-        self.gathered = 0
+        self.gathered = self.kept_rows = 0
         self.groups: pa.Array | None = None
         self.bounds = np.empty(0)
 
@@ -33,7 +38,7 @@ class LocalBest:
             table = table.filter(pa.array(table["value"].to_numpy() >= bound))
         self.rows.append(table)
         self.gathered += table.num_rows
-        if self.gathered > GATHER_ROWS:
+        if self.gathered > max(GATHER_ROWS, self.kept_rows):  # so that many groups are not sorted anew for few rows
             self.shrink()
 
     def shrink(self) -> pa.Table | None:
@@ -65,7 +70,7 @@ class LocalBest:
         self.groups = group.dictionary
         bound = self.bounds[g[order]]
         kept = table.take(pa.array(order))
-        self.rows, self.gathered = [kept], 0
+        self.rows, self.gathered, self.kept_rows = [kept], 0, kept.num_rows
         return kept.append_column("bound", pa.array(bound, mask=np.isinf(bound)))
 
 
@@ -73,9 +78,12 @@ def top_n(df: DataFrame, group: str, item: str, value: str, n: int = 5) -> DataF
     """``group, item, rank_no``: the ``n`` items of each group with the highest values.
 
     Each task keeps the ``n`` best of every group in its partition; its ``n``-th best value is a lower
-    bound of the group's. The highest bound of a group over all partitions meets the kept rows in one
-    shuffle by group, rows under it are dropped and the survivors ranked: by value from high to low,
-    then by item. A group in P partitions sends at most ``n`` rows from each, however many it has.
+    bound of the group's. The kept rows go to the checkpoint folder, so that the input is read once.
+    The highest bound of each group over all partitions, an aggregation of one row per group and
+    partition, is joined back to the kept rows where they lie and drops those under it before they are
+    shuffled; the survivors are ranked: by value from high to low, then by item. This join is a
+    broadcast of at most ``LISTED_GROUPS`` bounds, those of the groups in most partitions; the rows of
+    the other groups meet their bound behind the shuffle by group.
 
     An item counts once per group, with its highest finite value. Null, NaN and infinite values, and
     rows with a null group or item, don't count; a group without any finite value has no rows; one with
@@ -95,9 +103,18 @@ def top_n(df: DataFrame, group: str, item: str, value: str, n: int = 5) -> DataF
         if kept is not None and kept.num_rows:
             yield from kept.to_batches(max_chunksize=65_536)
 
-    kept = rows.mapInArrow(local, f"`group` {kinds['group']}, item {kinds['item']}, value double, bound double")
-    bounded = kept.withColumn("highest", F.max("bound").over(Window.partitionBy("group")))
+    kept = cut_lineage(rows.mapInArrow(local, f"`group` {kinds['group']}, item {kinds['item']}, value double, bound double"))
+    met = kept.join(F.broadcast(listed_bounds(kept, n)), "group", "left")
+    met = met.where(F.col("listed").isNull() | (F.col("value") >= F.col("listed"))).drop("listed")
+    bounded = met.withColumn("highest", F.max("bound").over(Window.partitionBy("group")))
     survivors = bounded.where(F.col("highest").isNull() | (F.col("value") >= F.col("highest")))
     once = survivors.groupBy("group", "item").agg(F.max("value").alias("value"))
     ranked = once.withColumn("rank_no", F.row_number().over(Window.partitionBy("group").orderBy(F.col("value").desc(), "item")).cast("long"))
     return ranked.where(F.col("rank_no") <= n).select(F.col("group").alias(group), F.col("item").alias(item), "rank_no")
+
+
+def listed_bounds(kept: DataFrame, n: int, most: int = LISTED_GROUPS) -> DataFrame:
+    """``group, listed``: the highest local bound of the ``most`` groups with the most kept rows beyond ``n``."""
+    bounds = kept.groupBy("group").agg(F.max("bound").alias("listed"), F.count(F.lit(1)).alias("kept"))
+    bounds = bounds.where(F.col("listed").isNotNull() & (F.col("kept") > n))
+    return bounds.orderBy(F.col("kept").desc(), "group").limit(most).select("group", "listed")

@@ -43,6 +43,27 @@ def test_local_bound_is_exact(monkeypatch):
     assert [(r["item"], r["bound"]) for r in kept if r["group"] == "h"] == [("x", None)]
 
 
+@pytest.mark.parametrize("most", [0, 1, 100])
+def test_bounds_drop_rows_before_the_shuffle(spark, monkeypatch, most):
+    rng = random.Random(9)
+    rows = [(rng.choice("abc"), f"r{rng.randint(0, 900)}", float(rng.randint(0, 300)), "") for _ in range(4000)]
+    whole = topn.listed_bounds
+    seen = []
+
+    def some(kept, n):
+        out = whole(kept, n, most)
+        left = kept.join(out, "group", "left").where("listed is null or value >= listed").count()
+        seen.append((kept.count(), out.count(), left))
+        return out
+
+    monkeypatch.setattr(topn, "listed_bounds", some)
+    assert run(spark, rows) == brute(rows, 5)
+    ((kept, listed, left),) = seen
+    assert kept == 3 * 5 * 7 and listed == min(most, 3)
+    assert left == kept if not most else left < kept
+    assert most < 3 or left < kept / 2
+
+
 def test_empty_and_all_unusable(spark):
     assert run(spark, []) == []
     assert run(spark, [("g", "i", math.nan, ""), ("g", "j", None, "")]) == []
