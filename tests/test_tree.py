@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from cohortloom.operators.skew import heavy_keys
-from cohortloom.operators.tree import dominant_keys, tree_aggregate
+from cohortloom.operators.tree import dominant_keys, tree_aggregate, tree_rounds
 
 LEAF = {"n": F.count, "s": F.sum}
 
@@ -21,6 +21,15 @@ def test_same_as_one_aggregation(spark):
         assert tree == plain
 
 
+def test_leaves_grow_with_the_input(spark):
+    for rows in (0, 1, 65_536 * 8, 65_536 * 8 + 1, 10**9, 10**12):
+        assert 8 ** tree_rounds(rows) * 65_536 >= rows
+    assert tree_rounds(0) == 1 and tree_rounds(65_536 * 8) == 1 and tree_rounds(65_536 * 8 + 1) == 2
+    df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("v"), F.lit(1).alias("n"))
+    tree, plain = both(df, chunk_rows=10, fan_in=2)
+    assert tree == plain
+
+
 def test_empty_and_dominant(spark):
     df = spark.createDataFrame([], "k string, v long, n int")
     assert both(df) == ([], [])
