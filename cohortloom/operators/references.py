@@ -13,39 +13,49 @@ from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
 _KEY = ["key_kind", "key"]
 
 
+def merge_intervals(spans: DataFrame, by: list[str]) -> DataFrame:
+    """The union of the half-open intervals ``begin, end`` of each ``by`` as disjoint ones; touching ones become one."""
+    ordered = Window.partitionBy(*by).orderBy("begin", "end")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("begin") > before), 1).otherwise(0)
+    marked = spans.select(*by, "begin", "end", opens.alias("__opens"))
+    numbered = marked.withColumn("__island", F.sum("__opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*by, "__island").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("__island")
+
+
 def parent_intervals(parents: DataFrame, removals: DataFrame) -> DataFrame:
     """Validity of every parent key as a stream of events ``key_kind, key, at, known, arrived, live``.
 
     ``parents`` has ``key_kind, key, record, arrived_at``: the records that carry each key.
     ``removals`` has ``record, removed_at``. A record is valid from its earliest arrival up to, not
-    including, its earliest removal. Records never removed leave one open interval per key, from the
-    earliest of them on; the others matter only where they begin before that, so a key that many
-    records carry still gives few events.
+    including, its earliest removal. A key is valid while any of its records is: records never removed
+    make one open interval, from the earliest of them on; the others' intervals are merged, first those
+    that begin on the same day, then all of the key. So however many records carry a key, and whether
+    they were removed or not, its events are as few as its disjoint intervals, and one task merges no
+    more than a day's records or one row for each of a key's days and gaps.
     """
-    arrivals = parents.groupBy("record").agg(F.min("arrived_at").alias("arrived_at"))
+    carried = parents.groupBy(*_KEY, "record").agg(F.min("arrived_at").alias("arrived_at"))
     removed = removals.where(F.col("record").isNotNull()).groupBy("record").agg(F.min("removed_at").alias("removed_at"))
-    lives = arrivals.join(removed, "record", "left")
-    held = parents.select(*_KEY, "record").distinct().join(lives, "record")
-    firsts = held.groupBy(*_KEY).agg(
-        F.min("arrived_at").alias("first_at"),
-        F.min(F.when(F.col("removed_at").isNull(), F.col("arrived_at"))).alias("open_at"),
+    none = F.lit(None)
+    both = carried.withColumn("removed_at", none.cast("timestamp_ntz")).unionByName(
+        removed.select(none.cast("string").alias("key_kind"), none.cast("string").alias("key"), "record", none.cast("timestamp_ntz").alias("arrived_at"), "removed_at")
     )
+    of_record = Window.partitionBy("record")
+    lives = both.select(*_KEY, F.min("arrived_at").over(of_record).alias("begin"), F.min("removed_at").over(of_record).alias("end"))
+    held = lives.where(F.col("key").isNotNull())
+    firsts = held.groupBy(*_KEY).agg(F.min("begin").alias("first_at"), F.min(F.when(F.col("end").isNull(), F.col("begin"))).alias("open_at"))
     event = lambda at, known, arrived, live: F.struct(
         at.alias("at"), F.lit(known).alias("known"), F.lit(arrived).alias("arrived"), F.lit(live).alias("live")
     )
-    never = F.lit(None).cast("timestamp_ntz")
     per_key = F.array(
-        event(never, 1, 0, 0),
+        event(none.cast("timestamp_ntz"), 1, 0, 0),
         F.when(F.col("first_at").isNotNull(), event(F.col("first_at"), 1, 1, 0)),
         F.when(F.col("open_at").isNotNull(), event(F.col("open_at"), 1, 0, 1)),
     )
-    finite = (
-        held.where(F.col("removed_at") > F.col("arrived_at"))
-        .join(firsts.select(*_KEY, "open_at"), _KEY)
-        .where(F.col("open_at").isNull() | (F.col("arrived_at") < F.col("open_at")))
-        .withColumn("e", F.explode(F.array(event(F.col("arrived_at"), 1, 0, 1), event(F.col("removed_at"), 1, 0, -1))))
-    )
     once = firsts.withColumn("e", F.explode(per_key)).where(F.col("e").isNotNull())
+    closed = held.where(F.col("end") > F.col("begin")).withColumn("__day", F.to_date("begin"))
+    merged = merge_intervals(merge_intervals(closed, [*_KEY, "__day"]), _KEY)
+    finite = merged.withColumn("e", F.explode(F.array(event(F.col("begin"), 1, 0, 1), event(F.col("end"), 1, 0, -1))))
     return reduce(DataFrame.unionByName, [d.select(*_KEY, "e.*") for d in (once, finite)])
 
 
@@ -60,8 +70,8 @@ def orphan_references(references: DataFrame, parents: DataFrame, removals: DataF
     * ``late``: none had arrived at or before the reference's time;
     * ``withdrawn``: each that had arrived was removed at or before that time.
 
-    Keys with very many references are spread over shards, each with a copy of the key's few parent
-    events. A reference with a null key is no reference. One with a null time is ``missing`` if the key
+    Keys with very many references are spread over shards, each with a copy of the key's parent events,
+    which are as few as its disjoint validity intervals. A reference with a null key is no reference. One with a null time is ``missing`` if the key
     is unknown and otherwise no case, since nothing can be said of that time. Repeated rows each count.
     Empty inputs give an empty result, or only ``missing`` where there are no parents.
     """

@@ -49,6 +49,22 @@ def test_heavy_key_over_shards_gives_the_same(spark):
     assert found(spark, refs, parents, [("A", t(12))], shard_rows=20) == found(spark, refs, parents, [("A", t(12))])
 
 
+def test_hot_key_whose_records_were_all_removed(spark):
+    parents = [("sample", "S", f"R{i}", D(2024, 3, 1 + i % 3, i % 24, i % 60), "") for i in range(900)]
+    removals = [(f"R{i}", t(10 + i % 3)) for i in range(900)] + [("R5", t(9))] * 4
+    frames = spark.createDataFrame(parents, PARENTS), spark.createDataFrame(removals, REMOVALS)
+    events = R.parent_intervals(*frames).collect()
+    assert len(events) == 4  # known, first arrival, and one interval in place of 900
+    refs = [ref(i, "S", t(i), "sample") for i in (1, 4, 11, 12, 13)]
+    assert {(i, s) for i, s, _ in found(spark, refs, parents, removals, shard_rows=2)} == {(12, "withdrawn"), (13, "withdrawn")}
+
+
+def test_intervals_are_merged(spark):
+    rows = [("a", t(1), t(4)), ("a", t(2), t(3)), ("a", t(4), t(6)), ("a", t(8), t(9)), ("b", t(1), t(2))]
+    got = R.merge_intervals(spark.createDataFrame(rows, "k string, begin timestamp_ntz, end timestamp_ntz"), ["k"]).collect()
+    assert sorted(map(tuple, got)) == [("a", t(1), t(6)), ("a", t(8), t(9)), ("b", t(1), t(2))]
+
+
 def test_repeated_rows_each_count_and_empty_tables(spark):
     out = R.orphan_references(spark.createDataFrame([ref(1, "Q", t(1))] * 3, REFS), spark.createDataFrame([], PARENTS), spark.createDataFrame([], REMOVALS))
     assert out.count() == 3
