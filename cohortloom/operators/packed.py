@@ -14,22 +14,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The known values are the most frequent ones, at most so many. Values beyond them are still held
-#: together by their quotes; the dictionary only decides where quotes alone leave a choice.
-MAX_KNOWN = 10_000
+#: A value is known if it is at least one in so many of all quoted values of the fields, so there are never
+#: more known ones than this, whatever the input's size; and the characters that a known value has at most.
+ONE_IN, LONGEST_KNOWN = 20_000, 4_096
 
 _SEPARATOR = re.compile(r"\s*[;,|]\s*|\s+")
 _BARE = re.compile(r"[^\s;,|]+")
 _QUOTED = {'"': re.compile(r'"((?:[^"]|"")*)"'), "'": re.compile(r"'((?:[^']|'')*)'")}
 
-# Costs of the cover: a known value is the cheapest, a stray quote inside a bare item the dearest.
+# Costs of the cover: a known value is the cheapest, quoted or not; a stray quote in a bare item the dearest.
 _KNOWN, _IN_QUOTES, _BARE_ITEM, _STRAY = 1, 2, 3, 8
 
 OUT = pa.schema([("field_name", pa.string()), ("pos", pa.int64()), ("item", pa.string())])
 
 
 class Segmenter:
-    """Splits packed fields by the cheapest cover of the text with known, quoted and bare items."""
+    """Splits packed fields by the cheapest cover of the text with known, quoted and bare items.
+
+    A known value is an item wherever it stands between separators, in quotes or bare, and protects the
+    separators that it holds.
+    """
 
     def __init__(self, known: Iterable[str] = ()) -> None:
         import ahocorasick
@@ -37,17 +41,18 @@ class Segmenter:
         self._automaton = ahocorasick.Automaton()
         for value in known:
             if value:
-                self._automaton.add_word(value, value)
+                for written in (value, *(q + value.replace(q, q + q) + q for q in _QUOTED)):
+                    self._automaton.add_word(written, (len(written), value))
         self._any = len(self._automaton) > 0
         if self._any:
             self._automaton.make_automaton()
 
-    def _known_at(self, text: str) -> dict[int, list[int]]:
-        """Ends of the known values in ``text`` by their start, all found in one pass."""
-        found: dict[int, list[int]] = {}
+    def _known_at(self, text: str) -> dict[int, list[tuple[int, str]]]:
+        """End and value of the known values in ``text`` by their start, all found in one pass."""
+        found: dict[int, list[tuple[int, str]]] = {}
         if self._any:
-            for last, value in self._automaton.iter(text):
-                found.setdefault(last + 1 - len(value), []).append(last + 1)
+            for last, (length, value) in self._automaton.iter(text):
+                found.setdefault(last + 1 - length, []).append((last + 1, value))
         return found
 
     def split(self, text: str | None) -> list[tuple[int, str]]:
@@ -96,18 +101,20 @@ class Segmenter:
         return [(n, v) for n, v in enumerate(items, 1) if v]
 
     @staticmethod
-    def _items(text: str, i: int, end: int, known: dict[int, list[int]]) -> Iterator[tuple[int, float, str]]:
+    def _items(text: str, i: int, end: int, known: dict[int, list[tuple[int, str]]]) -> Iterator[tuple[int, float, str]]:
         """End, cost and content of each item that may start at ``i``."""
         if i == end or text[i] in ";,|":
             yield i, 0, ""
             return
-        ends = known.get(i, ())
+        for stop, value in known.get(i, ()):
+            if stop == end or _SEPARATOR.match(text, stop):
+                yield stop, _KNOWN, value
         quote = _QUOTED.get(text[i])
         if quote is not None and (m := quote.match(text, i)):
             stop = m.end()
             if stop == end or _SEPARATOR.match(text, stop):
                 q = text[i]
-                yield stop, _KNOWN if stop in ends else _IN_QUOTES, m.group(1).replace(q + q, q).strip()
+                yield stop, _IN_QUOTES, m.group(1).replace(q + q, q).strip()
         m = _BARE.match(text, i)
         if m:
             word = m.group()
@@ -123,24 +130,30 @@ def _insert(starts: list[int], j: int) -> None:
     starts.insert(k, j)
 
 
-def learn_known(df: DataFrame, fields: list[str], limit: int = MAX_KNOWN) -> list[str]:
-    """The quoted values that hold a separator, as written, from all rows: the ``limit`` most frequent ones.
+def learn_known(df: DataFrame, fields: list[str], one_in: int = ONE_IN) -> list[str]:
+    """Values that hold a separator, learned from where they stand in quotes, over all rows and fields.
 
-    They are counted in the cluster; at most ``limit`` strings reach the driver.
+    Known is what makes up at least one in ``one_in`` of all such values. They are counted in the
+    cluster; by that share at most ``one_in`` strings reach the driver.
     """
     lexeme = r"""\"(?:[^\"]|\"\")*\"|'(?:[^']|'')*'|[^\s;,|\"']+"""
     parts = F.flatten(F.array(*[F.coalesce(F.regexp_extract_all(c, F.lit(lexeme), F.lit(0)), F.array().cast("array<string>")) for c in fields]))
-    value = df.select(F.explode(parts).alias("v")).where(F.col("v").rlike(r"""^[\"'].*[\s;,|]"""))
-    top = value.groupBy("v").count().orderBy(F.col("count").desc(), "v").limit(limit)
-    return [r[0] for r in top.collect()]
+    quoted = df.select(F.explode(parts).alias("v")).where(F.col("v").rlike(r"""^[\"'].*[\s;,|]"""))
+    q = F.substring("v", 1, 1)
+    inner = F.trim(F.replace(F.expr("substring(v, 2, length(v) - 2)"), F.concat(q, q), q))
+    counts = quoted.select(inner.alias("v")).where(F.col("v").rlike(r"[\s;,|]") & (F.length("v") <= LONGEST_KNOWN)).groupBy("v").count()
+    total = counts.agg(F.sum("count").alias("total"))
+    return sorted(r[0] for r in counts.join(F.broadcast(total), F.col("count") * F.lit(one_in) >= F.col("total")).select("v").collect())
 
 
 def split_packed(df: DataFrame, row_id: str, fields: list[str], known: list[str] | None = None) -> DataFrame:
     """One row ``row_id, field_name, pos, item`` per value of the packed ``fields``.
 
-    A multi-pattern automaton finds the known values of a field in one pass, then dynamic programming
-    picks the cheapest cover of the text by known, quoted and bare items with separators between them;
-    separators inside a chosen item are protected. ``known`` defaults to what ``learn_known`` finds.
+    A multi-pattern automaton finds the known whole values of a field in one pass, then dynamic
+    programming picks the cheapest cover of the text by known, quoted and bare items with separators
+    between them; separators inside a chosen item are protected. ``known`` defaults to what
+    ``learn_known`` finds: a value that quotes hold together elsewhere is then one item where it stands
+    bare, too. Values that are not known are told apart by their quotes alone.
 
     Null, blank and empty lists give no rows. Repeated rows each give theirs. A quote that is never
     closed is an ordinary character. The whole text counts, however long. No shuffle takes place.
