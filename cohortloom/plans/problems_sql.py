@@ -38,13 +38,7 @@ WITH refs AS (
 
 _WORDS = "('', '-', 'na', 'n/a', 'none', 'null', 'unknown', 'missing', 'not collected')"
 
-_P4 = f"""
-WITH fields AS (
-  SELECT DISTINCT {_field('source_column')} AS field, canonical_field, value_type FROM column_map WHERE canonical_field IS NOT NULL
-), raw AS (
-  SELECT {_acc('run_accession')} AS run_accession, {_field('field_name')} AS field, trim(field_value, {_SPACE}) AS v, updated_at, meta_id FROM run_metadata
-), typed AS (
-  SELECT r.run_accession, f.canonical_field, r.updated_at, r.meta_id, v, CASE
+_TYPED = f"""CASE
     WHEN v IS NULL OR lower(v) IN {_WORDS} THEN NULL
     WHEN value_type = 'integer' THEN CASE WHEN regexp_full_match(v, '[+-]?[0-9]+(\\.0*)?')
       THEN CAST(CAST(split_part(replace(v, '+', ''), '.', 1) AS HUGEINT) AS VARCHAR) END
@@ -55,7 +49,15 @@ WITH fields AS (
       CASE WHEN regexp_full_match(v, '[0-9]{{8}}') THEN try_strptime(v, '%Y%m%d') END,
       try_strptime(v, ['%d-%b-%Y', '%d %b %Y', '%d %B %Y', '%B %d, %Y', '%b %d, %Y'])), '%Y-%m-%d')
     WHEN value_type = 'boolean' THEN CASE WHEN lower(v) IN ('true', 'yes', 'y', 't', '1') THEN 'true' WHEN lower(v) IN ('false', 'no', 'n', 'f', '0') THEN 'false' END
-    ELSE lower(v) END AS cell_value
+    ELSE lower(v) END"""
+
+_P4 = f"""
+WITH fields AS (
+  SELECT DISTINCT {_field('source_column')} AS field, canonical_field, value_type FROM column_map WHERE canonical_field IS NOT NULL
+), raw AS (
+  SELECT {_acc('run_accession')} AS run_accession, {_field('field_name')} AS field, trim(field_value, {_SPACE}) AS v, updated_at, meta_id FROM run_metadata
+), typed AS (
+  SELECT r.run_accession, f.canonical_field, r.updated_at, r.meta_id, v, {_TYPED} AS cell_value
   FROM raw r JOIN fields f ON r.field = f.field WHERE r.run_accession IS NOT NULL
 ), cells AS (
   SELECT run_accession, canonical_field, cell_value FROM typed WHERE cell_value IS NOT NULL
@@ -145,6 +147,28 @@ WITH files AS (
 SELECT c.feed_id, f.file_no, c.change_kind, c.field_name, c.old_name FROM changes c JOIN files f ON c.feed_id = f.feed_id AND c.rk = f.rk
 """
 
+_P5_TABLE = f"""
+WITH docs AS (
+  SELECT ingest_id, CAST(metadata AS JSON) AS j FROM runs WHERE CASE WHEN json_valid(metadata) THEN json_type(metadata) = 'OBJECT' ELSE false END
+), pairs AS (
+  SELECT ingest_id, k, {_field('k')} AS field, trim(json_extract_string(j, '$."' || k || '"'), {_SPACE}) AS v, json_extract_string(j, '$."' || k || '"') AS raw
+  FROM (SELECT ingest_id, j, unnest(json_keys(j)) AS k FROM docs)
+), fields AS (
+  SELECT DISTINCT {_field('source_column')} AS field, canonical_field, value_type FROM column_map WHERE canonical_field IS NOT NULL
+), typed AS (
+  SELECT ingest_id, k, canonical_field, {_TYPED} AS cell FROM pairs JOIN fields USING (field)
+), cells AS (
+  SELECT ingest_id, canonical_field, first(cell ORDER BY k) AS cell FROM typed WHERE cell IS NOT NULL GROUP BY ALL
+), rest AS (
+  SELECT ingest_id, string_agg(field || '=' || raw, '; ' ORDER BY field || '=' || raw) AS other_fields FROM pairs
+  WHERE raw IS NOT NULL AND field NOT IN (SELECT field FROM fields) GROUP BY 1
+)
+SELECT r.ingest_id, feed_id, file_no, {', '.join(f"c.{n}" for n, _ in _FIELDS)},
+  CASE WHEN r.ingest_id IN (SELECT ingest_id FROM docs) THEN coalesce(other_fields, '') END AS other_fields
+FROM runs r LEFT JOIN rest ON r.ingest_id = rest.ingest_id
+LEFT JOIN (SELECT ingest_id, {', '.join(f"any_value(cell) FILTER (canonical_field = '{n}') AS {n}" for n, _ in _FIELDS)} FROM cells GROUP BY 1) c ON r.ingest_id = c.ingest_id
+"""
+
 ORACLES = {
     "p2_found": _P2 + "SELECT src_table, row_id, ref_field, ref_month, status FROM found WHERE status IS NOT NULL",
     "p2_report": _P2 + "SELECT src_table, ref_field, ref_month, status, count(*) AS n_refs FROM found WHERE status IS NOT NULL GROUP BY ALL",
@@ -152,6 +176,7 @@ ORACLES = {
     "p4_found": _P4 + "SELECT run_accession, canonical_field, cell_value FROM cells",
     "p4_wide": _P4_WIDE,
     "p5_found": _P5,
+    "p5_table": _P5_TABLE,
     "p7_found": f"SELECT {_acc('study_accession')} AS study_accession FROM runs WHERE {_acc('study_accession')} IS NOT NULL GROUP BY 1 HAVING count(*) >= 0.05 * (SELECT count(*) FROM runs)",
     "p7_studies": f"SELECT {_acc('study_accession')} AS study_accession, count(*) AS n_rows, count(*) FILTER (state LIKE '%\\_FAILED' ESCAPE '\\') AS n_failed, min(ingested_at) AS first_at, max(ingested_at) AS last_at FROM runs GROUP BY 1",
 }
