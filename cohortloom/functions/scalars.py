@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -81,6 +82,30 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def ratio_pct(a: Column, b: Column) -> Column:
+    """``a`` as a percentage of ``b``, or 0 where ``b`` is 0 or either is null."""
+    return F.coalesce(F.try_divide(a * F.lit(100.0), b.cast("double")), F.lit(0.0))
+
+
+def fixed(x: Column, digits: int) -> Column:
+    """A number that is not negative with so many decimals, at least one, rounded by its exact binary value, halves to even.
+
+    The usual formatting rounds the shortest decimal text instead, which is another number. Here the
+    value is taken apart into whole multiples of 2^-68 and compared with the half between both texts.
+    """
+    unit, one = 10**digits, F.lit(Decimal(2**48))
+    high = F.floor(x * F.lit(float(2**20))).cast("long")
+    low = ((x * F.lit(float(2**20)) - high.cast("double")) * F.lit(float(2**48))).cast("long")
+    exact = high.cast("decimal(20,0)") * one + low.cast("decimal(20,0)")
+    down = F.floor(x * F.lit(float(unit))).cast("long")
+    twice = exact.cast("decimal(32,0)") * F.lit(Decimal(2 * unit))
+    half = (down.cast("decimal(17,0)") * 2 + 1) * F.lit(Decimal(2**68))
+    up = (twice > half) | ((twice == half) & (down % 2 == 1))
+    n = down + F.when(up, 1).otherwise(0)
+    tail = F.pmod(n, F.lit(unit))
+    return F.concat(F.floor((n - tail) / F.lit(unit)).cast("string"), F.lit("."), F.lpad(tail.cast("string"), digits, "0"))
+
+
 def duration_from_rate(work: Column, rate: Column) -> Column:
     """Seconds that ``work`` takes: 0 without work, null without a rate."""
     return F.when(work <= 0, F.lit(0.0)).when(rate > 0, work / rate)
@@ -128,6 +153,14 @@ def contrast_name(name: Column, factor: Column, a: Column, b: Column) -> Column:
     return F.coalesce(blank_to_null(name), F.format_string("%s_%s_vs_%s", factor, a, b))
 
 
+def contrast_spec(c: Column | str) -> Column:
+    """``factor, level_a, level_b, name`` of ``factor|A|B|name``; the name may be left out; null with fewer than three parts."""
+    p = F.split(_col(c), r"\|")
+    part = lambda i: F.get(p, F.lit(i))
+    name = F.coalesce(F.nullif(part(3), F.lit("")), F.format_string("%s_%s_vs_%s", part(0), part(1), part(2)))
+    return F.when(F.size(p) >= 3, F.struct(part(0).alias("factor"), part(1).alias("level_a"), part(2).alias("level_b"), name.alias("name")))
+
+
 def blob_path(digest: Column) -> Column:
     """Place of a content-addressed blob."""
     return F.concat_ws("/", F.lit("blobs"), F.lit("sha256"), F.substr(digest, F.lit(1), F.lit(2)), F.substr(digest, F.lit(3), F.lit(2)), digest)
@@ -147,18 +180,40 @@ def file_kind(url_basename: Column, layout: Column, submitted: Column) -> Column
     )
 
 
-def artifact_kind(path: Column | str) -> Column:
-    """Kind of an artifact by its file name; the first rule that fits holds."""
-    n = F.lower(basename(path))
-    return first_match(
-        [
-            (n.endswith("manifest.json"), F.lit("MANIFEST")),
-            (n.endswith(".sra"), F.lit("SRA")),
-            (n.rlike(r"_1\.(fastq|fq)(\.gz|\.bz2)?$"), F.lit("FASTQ_R1")),
-            (n.rlike(r"_2\.(fastq|fq)(\.gz|\.bz2)?$"), F.lit("FASTQ_R2")),
-            (n.rlike(r"\.(fastq|fq)(\.gz|\.bz2)?$"), F.lit("FASTQ_SINGLE")),
-            (n.rlike(r"\.(bam|cram)$"), F.lit("ALIGNMENT")),
-            (n.rlike(r"^(gene_)?counts.*\.tsv$"), F.lit("COUNTS")),
-        ],
-        F.lit("OTHER"),
-    )
+# Kinds of the files that the test of differential expression leaves behind, by name.
+EXPRESSION_FILES = {
+    "gene_counts.tsv": "COUNTS", "gene_counts_annotated.tsv": "COUNTS", "gene_norm_counts.tsv": "NORM_COUNTS", "gene_norm_counts_annotated.tsv": "NORM_COUNTS",
+    "vst.tsv": "VST", "vst_annotated.tsv": "VST", "vst.rds": "VST_RDS", "deseq2_manifest.json": "MANIFEST",
+}
+# Kinds of the correlation's files by what is in their name, the first that fits.
+CORRELATION_FILES = (
+    ("edges", "CORR_EDGES"), ("dense", "CORR_DENSE"), ("modules_", "CORR_MODULES"), ("module_fgsea", "ENRICHMENT_TABLE"),
+    ("module_t_values", "ENRICHMENT_TABLE"), ("adjusted_matrix", "ADJUSTED_MATRIX"),
+)
+
+
+def artifact_kind(path: Column | str, stage: str) -> Column:
+    """Kind of an output of stage ``deseq2`` or ``corr`` by its file name; null for a file that is none."""
+    n = basename(path)
+    if stage == "deseq2":
+        named = [(n == k, F.lit(v)) for k, v in EXPRESSION_FILES.items()]
+        return first_match([*named, (n.startswith("de_") & n.endswith(".tsv"), F.lit("DE_TABLE")), (n.endswith("_manifest.json"), F.lit("MANIFEST"))])
+    if stage == "corr":
+        return first_match([*((n.contains(k), F.lit(v)) for k, v in CORRELATION_FILES), (n.endswith(".json"), F.lit("MANIFEST"))])
+    raise ValueError(f"no outputs are known of stage {stage!r}")
+
+
+# The spellings of settings, each with what it stands for.
+SETTINGS = {
+    "merge": {"override": "override", "prefer_remote": "prefer_remote", "prefer_local": "prefer_local", "union-with-prefix": "union_with_prefix", "union_with_prefix": "union_with_prefix"},
+    "download": {"fastq": "FASTQ", "ena_fastq": "FASTQ", "sra": "SRA"},
+    "cleanup": {"none": "none", "fastq": "fastq", "sra": "sra", "all": "all"},
+    "retention": {"both": "both", "original": "original", "trimmed": "trimmed", "none": "none"},
+}
+
+
+def parse_setting(name: str, value: str) -> str:
+    """The setting that ``value`` spells; any other text is an error."""
+    if value not in SETTINGS[name]:
+        raise ValueError(f"unsupported {name} setting: {value}")
+    return SETTINGS[name][value]

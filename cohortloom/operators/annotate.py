@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.scalars import strip_version
+from cohortloom.functions.scalars import is_versioned, strip_version
 
 #: Annotation tables up to this many rows are broadcast, after a count; a genome has fewer genes.
 ANNOTATION_ROWS = 500_000
@@ -67,3 +67,15 @@ def reference_id(gtf: Column, transcripts: Column, organism: Column, release: Co
     """Identity of a reference: by content for a custom one, else by organism and release."""
     short = lambda c: F.substr(F.sha2(c, 256), F.lit(1), F.lit(12))
     return F.when(release.isNull(), F.format_string("custom_%s_%s", short(transcripts), short(gtf))).otherwise(F.format_string("%s_gencode_%s_txall_v2", organism, release))
+
+
+#: Rows from the top of a table by which it is told whether its ids still have versions.
+PROBED_ROWS = 32
+
+
+def needs_rebuild(table: DataFrame, column: str, order: str) -> DataFrame:
+    """One row ``needs_rebuild``: whether the first id among the first rows, empty ones aside, has a version; a table without the column has to be made anew."""
+    if column not in table.columns:
+        return table.sparkSession.createDataFrame([(True,)], "needs_rebuild boolean")
+    top = table.orderBy(order).limit(PROBED_ROWS).where(F.coalesce(column, F.lit("")) != "")
+    return top.agg(F.coalesce(F.min_by(is_versioned(column), order), F.lit(False)).alias("needs_rebuild"))

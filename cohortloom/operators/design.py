@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,11 +70,15 @@ def residualize(vectors: DataFrame, design: np.ndarray, gene: str = "gene_id") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         for batch in batches:
-            out = []
-            for row in batch.column(1).to_pylist():
-                y = np.array(row, float)
-                out.append(y - q @ (q.T @ y) if len(y) == len(q) else y)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([list(r) for r in out], pa.list_(pa.float64()))], names=[gene, "values"])
+            rows = batch.column(1)
+            whole = pc.equal(pc.list_value_length(rows), len(q)).to_numpy(zero_copy_only=False).astype(bool)
+            if whole.all():
+                x = rows.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), len(q))
+                values = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(q)), pa.array((x - (x @ q) @ q.T).ravel()))
+            else:
+                fitted = [y - q @ (q.T @ y) if ok else y for y, ok in zip((np.array(r or [], float) for r in rows.to_pylist()), whole, strict=True)]
+                values = pa.array([r.tolist() for r in fitted], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=[gene, "values"])
 
     return vectors.select(gene, "values").mapInArrow(run, f"`{gene}` {vectors.schema[gene].dataType.simpleString()}, values array<double>")
 
@@ -85,8 +90,12 @@ def adjust(vectors: DataFrame, sheet: DataFrame, samples: list, formula: str, sa
     """
     if mode == "none":
         return vectors
+    return residualize(vectors, design_for(sheet, samples, formula, sample)[0])
+
+
+def design_for(sheet: DataFrame, samples: list, formula: str, sample: str = "sample_id") -> tuple[np.ndarray, list[str]]:
+    """``design_matrix`` of a samplesheet table, read for ``samples`` alone, which are joined and not written into the plan."""
     check_formula(formula, sheet.columns)
-    terms = formula_terms(formula)
-    rows = sheet.select(sample, *terms).where(F.col(sample).isin(samples)).dropDuplicates([sample]).collect()
-    design, _ = design_matrix({r[sample]: r.asDict() for r in rows}, samples, formula)
-    return residualize(vectors, design)
+    wanted = sheet.sparkSession.createDataFrame([(s,) for s in samples], f"`{sample}` {sheet.schema[sample].dataType.simpleString()}")
+    rows = sheet.select(sample, *formula_terms(formula)).join(wanted, sample, "left_semi").dropDuplicates([sample]).collect()
+    return design_matrix({r[sample]: r.asDict() for r in rows}, samples, formula)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.functions.scalars import accession_kind, basename, blank_to_null, file_kind, first_match
+from cohortloom.functions.scalars import accession_kind, basename, blank_to_null, file_kind, first_match, normalize_url, parse_setting, sanitize_basename
 from cohortloom.functions.text import accession
 from cohortloom.operators.eav import MAP_ROWS
 from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
@@ -24,10 +24,11 @@ STRATEGIES = ("override", "prefer_local", "prefer_remote", "union_with_prefix")
 
 
 def remote_files(reports: DataFrame, key: str) -> DataFrame:
-    """The files of each report row: ``key, file_no, url, md5, bytes, basename, kind, submitted``.
+    """The files of each report row: ``key, file_no, url, md5, bytes, basename, kind, submitted, layout``.
 
     The lists are zipped by place before empty addresses are dropped, so checksums and sizes stay with
-    their file. Sizes that are no number are null. FASTQ files come first, then submitted ones.
+    their file. Sizes that are no number are null. Addresses are made https ones, and their last part,
+    with odd characters replaced, is the name. FASTQ files come first, then submitted ones.
     """
 
     def listed(prefix: str, submitted: bool) -> Column:
@@ -36,12 +37,13 @@ def remote_files(reports: DataFrame, key: str) -> DataFrame:
         return F.transform(zipped, lambda z: F.struct(z["url"].alias("url"), z["md5"].alias("md5"), z["bytes"].alias("bytes"), F.lit(submitted).alias("submitted")))
 
     files = F.filter(F.concat(listed("fastq", False), listed("submitted", True)), lambda f: F.coalesce(f["url"], F.lit("")) != "")
-    flat = reports.select(key, "library_layout", F.posexplode(files).alias("at", "f"))
-    name = basename(F.col("f.url"))
+    layout = F.upper(F.coalesce(blank_to_null("library_layout"), F.lit("UNKNOWN")))
+    flat = reports.select(key, layout.alias("layout"), F.posexplode(files).alias("at", "f")).withColumn("url", normalize_url("f.url"))
+    name = sanitize_basename(basename("url"))
     return flat.select(
-        key, (F.col("at") + 1).cast("long").alias("file_no"), "f.url", F.nullif("f.md5", F.lit("")).alias("md5"),
+        key, (F.col("at") + 1).cast("long").alias("file_no"), "url", F.nullif("f.md5", F.lit("")).alias("md5"),
         F.when(F.col("f.bytes").rlike("^[0-9]{1,18}$"), F.col("f.bytes")).try_cast("long").alias("bytes"),
-        name.alias("basename"), file_kind(name, F.coalesce("library_layout", F.lit("UNKNOWN")), F.col("f.submitted")).alias("kind"), "f.submitted",
+        name.alias("basename"), file_kind(name, F.col("layout"), F.col("f.submitted")).alias("kind"), "f.submitted", "layout",
     )
 
 
@@ -56,10 +58,21 @@ def preferred_files(files: DataFrame, key: str, preference: str = "FASTQ") -> Da
 
 
 def read_files(files: DataFrame, key: str) -> DataFrame:
-    """The address of the first and the second read file of each row, null where there is none."""
-    pick = lambda kind: F.min_by("url", F.when(F.col("kind") == kind, F.col("file_no")))
-    lone = F.when(F.count_if(F.col("kind") == "FASTQ") == 1, F.max(F.when(F.col("kind") == "FASTQ", F.col("url"))))
-    return files.groupBy(key).agg(F.coalesce(pick("FASTQ_R1"), lone).alias("read1"), pick("FASTQ_R2").alias("read2"))
+    """The address of the first and the second read file of each row, null where there is none.
+
+    The first read of a single-end run is its first FASTQ file, if none is marked.
+    """
+    pick = lambda fits: F.min_by("url", F.when(fits, F.col("file_no")))
+    single = (F.col("kind") == "FASTQ") & (F.col("layout") == "SINGLE")
+    return files.groupBy(key).agg(F.coalesce(pick(F.col("kind") == "FASTQ_R1"), pick(single)).alias("read1"), pick(F.col("kind") == "FASTQ_R2").alias("read2"))
+
+
+def expected_bytes(files: DataFrame, key: str, preference: str = "FASTQ") -> DataFrame:
+    """``key, bytes``: what a download of each row's files will take: those preferred, else the other kind, else all that are listed."""
+    total = lambda fits: F.coalesce(F.sum(F.when(fits, F.col("bytes"))), F.lit(0).cast("long"))
+    sums = files.groupBy(key).agg(total(F.col("kind").isin("FASTQ", "FASTQ_R1", "FASTQ_R2")).alias("FASTQ"), total(F.col("kind") == "SRA").alias("SRA"), total(F.lit(True)).alias("__all"))
+    first, second = ("FASTQ", "SRA") if parse_setting("download", preference.lower()) == "FASTQ" else ("SRA", "FASTQ")
+    return sums.select(key, F.when(F.col(first) > 0, F.col(first)).when(F.col(second) > 0, F.col(second)).otherwise(F.col("__all")).alias("bytes"))
 
 
 def report_runs(reports: DataFrame, project_id: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 #: A value is known if it is at least one in so many of all quoted values of the fields, so there are never
 #: more known ones than this, whatever the input's size; and the characters that a known value has at most.
-ONE_IN, LONGEST_KNOWN = 20_000, 4_096
+ONE_IN, LONGEST_KNOWN = 5_000, 4_096
 
 _SEPARATOR = re.compile(r"\s*[;,|]\s*|\s+")
 _BARE = re.compile(r"[^\s;,|]+")
@@ -142,8 +142,8 @@ def learn_known(df: DataFrame, fields: list[str], one_in: int = ONE_IN) -> list[
     q = F.substring("v", 1, 1)
     inner = F.trim(F.replace(F.expr("substring(v, 2, length(v) - 2)"), F.concat(q, q), q))
     counts = quoted.select(inner.alias("v")).where(F.col("v").rlike(r"[\s;,|]") & (F.length("v") <= LONGEST_KNOWN)).groupBy("v").count()
-    total = counts.agg(F.sum("count").alias("total"))
-    return sorted(r[0] for r in counts.join(F.broadcast(total), F.col("count") * F.lit(one_in) >= F.col("total")).select("v").collect())
+    total = counts.agg(F.sum("count")).scalar()
+    return sorted(r[0] for r in counts.where(F.col("count") * F.lit(one_in) >= total).select("v").collect())
 
 
 def split_packed(df: DataFrame, row_id: str, fields: list[str], known: list[str] | None = None) -> DataFrame:

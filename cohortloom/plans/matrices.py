@@ -405,21 +405,65 @@ m AS (SELECT gene_id, avg(length) AS ml FROM g GROUP BY 1), r AS (SELECT *, tpm
 SELECT gene_id, sample_id, round(raw * sum(counts) OVER w / sum(raw) OVER w, 5) AS value FROM r WINDOW w AS (PARTITION BY sample_id)""".replace("GROUP BY l_partkey, ALL", "GROUP BY p_brand, l_suppkey, l_partkey")
 )
 def length_scaled_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.gene_counts(_abundance(spark, sf)).select("gene_id", "sample_id", F.round("value", 5).alias("value"))
+
+
+def _abundance(spark: SparkSession, sf: str) -> DataFrame:
+    """Transcripts of the parts, summed to their brands."""
     items, parts = table(spark, sf, "lineitem"), table(spark, sf, "part")
     name = F.concat(F.lit("T"), F.col("l_partkey").cast("string"), F.lit(".2"))
     tx = items.groupBy(name.alias("tx"), F.col("l_suppkey").alias("sample_id")).agg(F.sum("l_quantity").alias("counts"), F.sum("l_extendedprice").alias("tpm"), (F.avg("l_partkey") + 100).alias("eff_length"))
     genes = parts.select(F.concat(F.lit("T"), F.col("p_partkey").cast("string"), F.lit(".1")).alias("tx"), F.col("p_brand").alias("gene_id"))
-    scaled = normalize.length_scaled_counts(normalize.gene_abundance(tx, genes))
-    return scaled.select("gene_id", "sample_id", F.round("value", 5).alias("value"))
+    return normalize.gene_abundance(tx, genes)
+
+
+@query(
+    """WITH g AS (SELECT p_brand AS gene_id, l_suppkey AS sample_id, sum(l_quantity) AS counts, sum(l_extendedprice) AS tpm FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)
+SELECT gene_id, sample_id, counts AS raw, round(tpm * sum(counts) OVER w / sum(tpm) OVER w, 5) AS scaled FROM g WINDOW w AS (PARTITION BY sample_id)"""
+)
+def scaled_counts(spark: SparkSession, sf: str) -> DataFrame:
+    genes = _abundance(spark, sf)
+    raw = normalize.gene_counts(genes, "no").withColumnRenamed("value", "raw")
+    return raw.join(normalize.gene_counts(genes, "scaledTPM"), ["gene_id", "sample_id"]).select("gene_id", "sample_id", "raw", F.round("value", 5).alias("scaled"))
+
+
+def _sized(spark: SparkSession, sf: str) -> tuple[DataFrame, list, np.ndarray]:
+    """Count vectors, their samples in order and the samples' size factors."""
+    long = cut_lineage(_counts(spark, sf))
+    samples = matrix.sample_order(long)
+    factors = {r["sample_id"]: r["size_factor"] for r in normalize.size_factors(long).collect()}
+    return matrix.to_vectors(long, samples, missing=0.0), samples, np.array([factors[s] for s in samples])
+
+
+@query(
+    f"""WITH {_COUNTS}, {_FACTORS}, all_cells AS (SELECT gene_id, sample_id, size_factor, coalesce(value, 0) AS value FROM (SELECT DISTINCT gene_id FROM cells) CROSS JOIN sfac LEFT JOIN cells USING (gene_id, sample_id)),
+q AS (SELECT gene_id, round_even(value, 0) / size_factor AS q, size_factor FROM all_cells), m AS (SELECT gene_id, avg(q) AS mean, var_samp(q) AS v, avg(1 / size_factor) AS inv FROM q GROUP BY 1)
+SELECT gene_id, round(mean, 5) AS mean, round(greatest(1e-8, (v - mean * inv) / (mean * mean)), 7) AS dispersion FROM m"""
+)
+def gene_dispersions(spark: SparkSession, sf: str) -> DataFrame:
+    vectors, samples, sizes = _sized(spark, sf)
+    moments = normalize.dispersion_moments(vectors, sizes, np.ones((len(samples), 1)))
+    return moments.select("gene_id", F.round("mean", 5).alias("mean"), F.round("dispersion", 7).alias("dispersion"))
+
+
+@query()
+def vst_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """Both transformations with the trend fit to these counts."""
+    long = cut_lineage(_counts(spark, sf))
+    factors, samples = normalize.size_factors(long), matrix.sample_order(long)
+    made = [normalize.stabilized(long, factors, samples, m).select(F.lit(m).alias("method"), "gene_id", "sample_id", "value") for m in ("vst", "rlog")]
+    return made[0].unionByName(made[1])
 
 
 @query()
 def de_wald(spark: SparkSession, sf: str) -> DataFrame:
-    long = _counts(spark, sf)
-    vectors, samples = _count_vectors(spark, sf)
-    factors = {r["sample_id"]: r["size_factor"] for r in normalize.size_factors(long).collect()}
-    sheet = {r["sample_id"]: r.asDict() for r in _samples(spark, sf).where(F.col("sample_id").isin(samples)).collect()}
-    x, names = design.design_matrix(sheet, samples, "~ batch")
-    contrast = np.zeros(x.shape[1])
-    contrast[1 if len(names) > 1 else 0] = 1.0
-    return normalize.wald_test(vectors, np.array([factors[s] for s in samples]), x, contrast)
+    """Each region against the first, and the last against the one before."""
+    vectors, samples, sizes = _sized(spark, sf)
+    normalize.check_runs(len(samples), "deseq2")
+    sheet = _samples(spark, sf)
+    x, names = design.design_for(sheet, samples, "~ batch")
+    levels = sorted(r[0] for r in table(spark, sf, "region").select("r_name").collect())
+    held = [v for v in levels if v == levels[0] or f"batch={v}" in names]
+    wanted = [normalize.contrast(f"batch|{v}|{held[0]}") for v in held[1:]] + ([normalize.contrast(f"batch|{held[-1]}|{held[-2]}|last_two")] if len(held) > 2 else [])
+    normalize.check_contrasts(wanted, sheet.columns)
+    return normalize.wald_test(vectors, sizes, x, {name: normalize.contrast_vector(names, f, a, b, held) for f, a, b, name in wanted})

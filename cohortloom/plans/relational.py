@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,28 +132,45 @@ def run_state_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- report files ---------------------------------------------------------------------------------
 
+_LAST_REPORTS = f"""SELECT * REPLACE ({_acc('run_accession')} AS run_accession) FROM ena_reports WHERE {_acc('run_accession')} IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY {_acc('run_accession')} ORDER BY received_at DESC, report_row_id DESC) = 1"""
+
 _FILES = """
-WITH u AS (
-  SELECT report_row_id, library_layout, false AS submitted, coalesce(fastq_ftp, '') AS f, coalesce(fastq_md5, '') AS m, coalesce(fastq_bytes, '') AS b FROM ena_reports
-  UNION ALL SELECT report_row_id, library_layout, true, coalesce(submitted_ftp, ''), coalesce(submitted_md5, ''), coalesce(submitted_bytes, '') FROM ena_reports
+WITH reports AS (SELECT * FROM ena_reports), u AS (
+  SELECT report_row_id, library_layout, false AS submitted, coalesce(fastq_ftp, '') AS f, coalesce(fastq_md5, '') AS m, coalesce(fastq_bytes, '') AS b FROM reports
+  UNION ALL SELECT report_row_id, library_layout, true, coalesce(submitted_ftp, ''), coalesce(submitted_md5, ''), coalesce(submitted_bytes, '') FROM reports
 ), e AS (
   SELECT report_row_id, library_layout, submitted, unnest(string_split(f, ';')) AS url, unnest(range(1, len(string_split(f, ';')) + 1)) AS i, string_split(m, ';') AS m, string_split(b, ';') AS b FROM u
 ), t AS (
-  SELECT report_row_id, submitted, coalesce(library_layout, 'UNKNOWN') AS layout, i, trim(url, ' ') AS url, nullif(trim(m[i], ' '), '') AS md5,
-    CASE WHEN regexp_full_match(trim(b[i], ' '), '[0-9]{1,18}') THEN CAST(trim(b[i], ' ') AS BIGINT) END AS bytes,
-    string_split(trim(url, ' '), '/')[-1] AS basename FROM e
+  SELECT report_row_id, submitted, upper(coalesce(nullif(trim(library_layout, ' '), ''), 'UNKNOWN')) AS layout, i, trim(url, ' ') AS url, nullif(trim(m[i], ' '), '') AS md5,
+    CASE WHEN regexp_full_match(trim(b[i], ' '), '[0-9]{1,18}') THEN CAST(trim(b[i], ' ') AS BIGINT) END AS bytes FROM e
+), h AS (
+  SELECT * REPLACE (CASE WHEN url LIKE 'ftp://%' THEN 'https://' || url[7:] WHEN url LIKE 'http://%' OR url LIKE 'https://%' THEN url ELSE 'https://' || url END AS url) FROM t WHERE url <> ''
+), n AS (
+  SELECT *, regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9._-]', '_', 'g') AS basename FROM h
 ), files AS (
-  SELECT report_row_id, row_number() OVER (PARTITION BY report_row_id ORDER BY submitted, i) AS file_no, url, md5, bytes, basename, submitted, CASE
+  SELECT report_row_id, row_number() OVER (PARTITION BY report_row_id ORDER BY submitted, i) AS file_no, url, md5, bytes, basename, submitted, layout, CASE
     WHEN submitted AND basename LIKE '%.sra' THEN 'SRA'
-    WHEN upper(trim(layout)) = 'PAIRED' AND (contains(basename, '_1.') OR contains(basename, 'R1')) THEN 'FASTQ_R1'
-    WHEN upper(trim(layout)) = 'PAIRED' AND (contains(basename, '_2.') OR contains(basename, 'R2')) THEN 'FASTQ_R2'
-    WHEN upper(trim(layout)) = 'PAIRED' AND submitted THEN 'SUBMITTED' ELSE 'FASTQ' END AS kind
-  FROM t WHERE url <> ''
+    WHEN layout = 'PAIRED' AND (contains(basename, '_1.') OR contains(basename, 'R1')) THEN 'FASTQ_R1'
+    WHEN layout = 'PAIRED' AND (contains(basename, '_2.') OR contains(basename, 'R2')) THEN 'FASTQ_R2'
+    WHEN layout = 'PAIRED' AND submitted THEN 'SUBMITTED' ELSE 'FASTQ' END AS kind
+  FROM n
 )
 """
+_LAST_FILES = _FILES.replace("SELECT * FROM ena_reports", _LAST_REPORTS)
+
+
+def _last_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """The last report of each run."""
+    reports = table(spark, sf, "ena_reports").withColumn("run_accession", accession("run_accession")).where(F.col("run_accession").isNotNull())
+    return catalog.latest(reports, ["run_accession"], ["received_at", "report_row_id"])
+
 
+def _run_files(spark: SparkSession, sf: str) -> DataFrame:
+    return metadata.remote_files(_last_reports(spark, sf), "run_accession")
 
-@query(_FILES + "SELECT report_row_id, file_no, url, md5, bytes, basename, kind, submitted FROM files")
+
+@query(_FILES + "SELECT report_row_id, file_no, url, md5, bytes, basename, kind, submitted, layout FROM files")
 def remote_files(spark: SparkSession, sf: str) -> DataFrame:
     return metadata.remote_files(table(spark, sf, "ena_reports"), "report_row_id")
 
@@ -169,7 +188,7 @@ def preferred_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     _FILES
-    + """SELECT report_row_id, coalesce(arg_min(url, file_no) FILTER (kind = 'FASTQ_R1'), CASE WHEN count(*) FILTER (kind = 'FASTQ') = 1 THEN max(url) FILTER (kind = 'FASTQ') END) AS read1,
+    + """SELECT report_row_id, coalesce(arg_min(url, file_no) FILTER (kind = 'FASTQ_R1'), arg_min(url, file_no) FILTER (kind = 'FASTQ' AND layout = 'SINGLE')) AS read1,
 arg_min(url, file_no) FILTER (kind = 'FASTQ_R2') AS read2 FROM files GROUP BY report_row_id"""
 )
 def read_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,14 +268,69 @@ def contrast_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    _FILES
-    + """SELECT kind, count(*) AS n FROM (SELECT CASE WHEN n LIKE '%manifest.json' THEN 'MANIFEST' WHEN n LIKE '%.sra' THEN 'SRA' WHEN regexp_matches(n, '_1\\.(fastq|fq)(\\.gz|\\.bz2)?$') THEN 'FASTQ_R1'
-WHEN regexp_matches(n, '_2\\.(fastq|fq)(\\.gz|\\.bz2)?$') THEN 'FASTQ_R2' WHEN regexp_matches(n, '\\.(fastq|fq)(\\.gz|\\.bz2)?$') THEN 'FASTQ_SINGLE' WHEN regexp_matches(n, '\\.(bam|cram)$') THEN 'ALIGNMENT'
-WHEN regexp_matches(n, '^(gene_)?counts.*\\.tsv$') THEN 'COUNTS' ELSE 'OTHER' END AS kind FROM (SELECT lower(basename) AS n FROM files)) GROUP BY kind"""
+    _LAST_FILES
+    + """SELECT run_accession, CASE WHEN fq > 0 THEN fq WHEN sra > 0 THEN sra ELSE everything END AS bytes FROM (
+SELECT run_accession, coalesce(sum(bytes) FILTER (kind LIKE 'FASTQ%'), 0) AS fq, coalesce(sum(bytes) FILTER (kind = 'SRA'), 0) AS sra, coalesce(sum(bytes), 0) AS everything FROM files JOIN reports USING (report_row_id) GROUP BY 1)"""
+)
+def expected_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    return metadata.expected_bytes(_run_files(spark, sf), "run_accession")
+
+
+@query(f"""SELECT count(DISTINCT key) AS n_runs FROM (SELECT {_acc('run_accession')} AS key FROM ena_reports UNION ALL SELECT {_acc('run_accession')} FROM runs WHERE state = 'VERIFIED')""")
+def named_run_count(spark: SparkSession, sf: str) -> DataFrame:
+    verified = table(spark, sf, "runs").where(F.col("state") == "VERIFIED")
+    return progress.named_run_count([d.select(accession("run_accession").alias("key")) for d in (table(spark, sf, "ena_reports"), verified)])
+
+
+#: Names of outputs, one for each remainder of a part's number.
+_OUTPUTS = (
+    "gene_counts.tsv", "gene_counts_annotated.tsv", "gene_norm_counts.tsv", "vst.tsv", "vst.rds", "deseq2_manifest.json", "de_a_vs_b.tsv", "de_list.txt", "other_manifest.json",
+    "edges_topk.tsv", "edges_topk_annotated.tsv", "corr_dense.tsv", "modules_top_genes.tsv", "module_fgsea.tsv", "module_t_values.tsv", "adjusted_matrix.tsv", "corr.json", "notes.txt",
+)
+
+
+@query(
+    "WITH t AS (SELECT p_partkey, [" + ", ".join(f"'{n}'" for n in _OUTPUTS) + f"""][p_partkey % {len(_OUTPUTS)} + 1] AS n FROM part)
+SELECT p_partkey, CASE WHEN n SIMILAR TO 'gene_counts(_annotated)?\\.tsv' THEN 'COUNTS' WHEN n SIMILAR TO 'gene_norm_counts(_annotated)?\\.tsv' THEN 'NORM_COUNTS' WHEN n SIMILAR TO 'vst(_annotated)?\\.tsv' THEN 'VST'
+  WHEN n = 'vst.rds' THEN 'VST_RDS' WHEN n SIMILAR TO 'de_.*\\.tsv' THEN 'DE_TABLE' WHEN n SIMILAR TO '.*_manifest\\.json' THEN 'MANIFEST' END AS de_kind,
+CASE WHEN contains(n, 'edges') THEN 'CORR_EDGES' WHEN contains(n, 'dense') THEN 'CORR_DENSE' WHEN contains(n, 'modules_') THEN 'CORR_MODULES' WHEN contains(n, 'module_fgsea') OR contains(n, 'module_t_values') THEN 'ENRICHMENT_TABLE'
+  WHEN contains(n, 'adjusted_matrix') THEN 'ADJUSTED_MATRIX' WHEN n LIKE '%.json' THEN 'MANIFEST' END AS corr_kind FROM t"""
 )
 def artifact_kinds(spark: SparkSession, sf: str) -> DataFrame:
-    files = metadata.remote_files(table(spark, sf, "ena_reports"), "report_row_id")
-    return files.groupBy(S.artifact_kind("url").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(F.array(*[F.lit(f"out/{n}") for n in _OUTPUTS]), (F.col("p_partkey") % len(_OUTPUTS) + 1).cast("int"))
+    return table(spark, sf, "part").select("p_partkey", S.artifact_kind(name, "deseq2").alias("de_kind"), S.artifact_kind(name, "corr").alias("corr_kind"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, printf('%.4f', l_discount * l_tax * 10) AS rate, printf('%.2f', l_extendedprice / 7) AS price, printf('%.1f', l_quantity * 100.0 / 64) AS share FROM lineitem"""
+)
+def fixed_decimals(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", S.fixed(c("l_discount") * c("l_tax") * 10, 4).alias("rate"), S.fixed(c("l_extendedprice") / 7, 2).alias("price"),
+        S.fixed(S.ratio_pct(c("l_quantity"), F.lit(64)), 1).alias("share"),
+    )
+
+
+@query(
+    """WITH t AS (SELECT n_nationkey, 'region|' || n_name || '|' || r_name || CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN '|' ELSE '|own_' || n_name END AS spec FROM nation JOIN region ON n_regionkey = r_regionkey),
+p AS (SELECT n_nationkey, string_split(spec, '|') AS p FROM t)
+SELECT n_nationkey, p[1] AS factor, p[2] AS level_a, p[3] AS level_b, coalesce(nullif(p[4], ''), p[1] || '_' || p[2] || '_vs_' || p[3]) AS name FROM p"""
+)
+def contrast_specs(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    tail = F.when(F.col("n_nationkey") % 3 == 0, "").when(F.col("n_nationkey") % 3 == 1, "|").otherwise(F.concat(F.lit("|own_"), "n_name"))
+    spec = S.contrast_spec(F.concat(F.lit("region|"), "n_name", F.lit("|"), "r_name", tail))
+    return rows.select("n_nationkey", spec.alias("s")).select("n_nationkey", "s.*")
+
+
+@query(
+    """WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 1 THEN '' ELSE p_brand || CASE WHEN p_partkey % 3 = 0 THEN '.2' ELSE '' END END AS id FROM part),
+f AS (SELECT * FROM t ORDER BY p_partkey LIMIT 32) SELECT coalesce(arg_min(regexp_matches(id, '^.+\\.[0-9]+$'), p_partkey) FILTER (id <> ''), false) AS needs_rebuild FROM f"""
+)
+def rebuild_check(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.when(F.col("p_partkey") % 5 == 1, "").otherwise(F.concat("p_brand", F.when(F.col("p_partkey") % 3 == 0, ".2").otherwise("")))
+    return annotate.needs_rebuild(table(spark, sf, "part").select("p_partkey", text.alias("gene_id")), "gene_id", "p_partkey")
 
 
 @query(
@@ -418,11 +492,15 @@ def _judged(spark: SparkSession, sf: str, gate: qc.Gate) -> DataFrame:
     return qc.apply_gate(qc.gate_rates(record), gate)
 
 
-_QC = """
+def _reason(name: str, count: str, sign: str, limit: float) -> str:
+    return f"CASE WHEN {count} / total {sign} {limit} THEN printf('{name} %.4f {sign} {limit:.4f}', {count} / total) END"
+
+
+_QC = f"""
 WITH s AS (SELECT l_suppkey AS run_accession, CAST(sum(l_quantity) FILTER (l_returnflag = 'N') AS BIGINT) AS n, CAST(sum(l_quantity) FILTER (l_returnflag = 'R') AS BIGINT) AS r, CAST(sum(l_quantity) FILTER (l_returnflag = 'A') AS BIGINT) AS a FROM lineitem GROUP BY 1),
 q AS (SELECT run_accession, coalesce(n, 0) AS passed, coalesce(r, 0) + coalesce(a, 0) AS failed, coalesce(n, 0) + coalesce(r, 0) + coalesce(a, 0) AS total, coalesce(r, 0) AS low, coalesce(a, 0) AS short FROM s),
-j AS (SELECT *, nullif(concat_ws('; ', CASE WHEN passed / total < 0.5 THEN 'pass_rate' END, CASE WHEN low / total > 0.25 THEN 'low_quality_rate' END, CASE WHEN short / total > 0.26 THEN 'too_short_rate' END), '') AS reason,
-  nullif(concat_ws('; ', CASE WHEN passed / total < 0.6 THEN 'pass_rate' END, CASE WHEN low / total > 0.3 THEN 'low_quality_rate' END, CASE WHEN short / total > 0.4 THEN 'too_short_rate' END), '') AS old FROM q)
+j AS (SELECT *, nullif(concat_ws('; ', {_reason('pass_rate', 'passed', '<', 0.5)}, {_reason('low_quality_rate', 'low', '>', 0.25)}, {_reason('too_short_rate', 'short', '>', 0.26)}), '') AS reason,
+  nullif(concat_ws('; ', {_reason('pass_rate', 'passed', '<', 0.6)}, {_reason('low_quality_rate', 'low', '>', 0.3)}, {_reason('too_short_rate', 'short', '>', 0.4)}), '') AS old FROM q)
 """
 
 
@@ -431,15 +509,53 @@ def qc_gate(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(spark, sf, _GATE).select("run_accession", "passed", "failed", "total", F.round("pass_rate", 6).alias("pass_rate"), "gate_reason", "gate_passed")
 
 
-@query(
+_STATES = "CASE run_accession % 4 WHEN 0 THEN 'QUANT_DONE' WHEN 1 THEN 'PREPROCESS_DONE' WHEN 2 THEN 'PREPROCESS_FAILED' ELSE 'VERIFIED' END"
+_AGAIN = (
     _QC
-    + """SELECT run_accession, reason IS NULL AS gate_passed, reason AS gate_reason, (reason IS NULL) <> (old IS NULL) OR reason IS DISTINCT FROM old AS changed, (reason IS NULL) <> (old IS NULL) AS invalidates,
-CASE WHEN reason IS NOT NULL THEN 'PREPROCESS_FAILED' WHEN run_accession % 3 = 0 THEN 'QUANT_DONE' WHEN run_accession % 3 = 1 THEN 'PREPROCESS_DONE' ELSE 'VERIFIED' END AS new_state FROM j"""
+    + f""", k AS (SELECT run_accession, run_accession % 9 <> 0 AS seen, reason, old, {_STATES} AS state, CASE WHEN run_accession % 4 = 2 THEN 'earlier' END AS last_error, run_accession % 10 <> 0 AS known FROM j),
+x AS (SELECT *, seen AND (NOT known OR (reason IS NULL) <> (old IS NULL)) AS flip, seen AND (NOT known OR reason IS DISTINCT FROM old) AS changed FROM k),
+y AS (SELECT run_accession, CASE WHEN seen THEN reason IS NULL END AS gate_passed, CASE WHEN seen THEN reason END AS gate_reason, state, last_error, changed, flip AS invalidates,
+  CASE WHEN NOT changed THEN state WHEN reason IS NOT NULL THEN 'PREPROCESS_FAILED' WHEN run_accession % 3 = 0 THEN 'QUANT_DONE' WHEN run_accession % 3 = 1 THEN 'PREPROCESS_DONE' ELSE 'VERIFIED' END AS new_state,
+  CASE WHEN changed AND reason IS NOT NULL THEN reason ELSE last_error END AS new_error FROM x)
+"""
 )
-def qc_reevaluate(spark: SparkSession, sf: str) -> DataFrame:
+
+
+def _again(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs judged again; each ninth has no report, each tenth no earlier verdict."""
     run = F.col("run_accession")
-    now = _judged(spark, sf, _GATE).withColumns({"has_quant": run % 3 == 0, "has_trimmed": run % 3 == 1})
-    return qc.reevaluate(now, _judged(spark, sf, qc.Gate()))
+    seen = run % 9 != 0
+    now = _judged(spark, sf, _GATE).withColumns({"has_quant": run % 3 == 0, "has_trimmed": run % 3 == 1, "gate_reason": F.when(seen, F.col("gate_reason")), "gate_passed": F.when(seen, F.col("gate_passed"))})
+    state = F.element_at(F.array(*[F.lit(x) for x in ("QUANT_DONE", "PREPROCESS_DONE", "PREPROCESS_FAILED", "VERIFIED")]), (run % 4 + 1).cast("int"))
+    now = now.withColumns({"state": state, "last_error": F.when(run % 4 == 2, "earlier")})
+    return qc.reevaluate(now, _judged(spark, sf, qc.Gate()).where(run % 10 != 0))
+
+
+@query(_AGAIN + "SELECT * FROM y")
+def qc_reevaluate(spark: SparkSession, sf: str) -> DataFrame:
+    return _again(spark, sf)
+
+
+@query(
+    _AGAIN
+    + """SELECT count(gate_passed) AS qc_reevaluated, count(*) FILTER (gate_passed) AS qc_passed, count(*) FILTER (NOT gate_passed) AS qc_failed,
+count(*) FILTER (gate_passed IS NOT NULL AND (new_state <> state OR new_error IS DISTINCT FROM last_error)) AS qc_state_changes, count(*) FILTER (changed) AS qc_gate_outcome_changed,
+count(*) FILTER (gate_passed IS NULL) AS qc_missing_reports, bool_or(invalidates) AS project_outputs_invalidated FROM y"""
+)
+def qc_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return qc.reevaluation_counts(_again(spark, sf))
+
+
+@query(_AGAIN + "SELECT stage, CASE WHEN stage IN ('normalize', 'deseq2', 'corr') AND (SELECT bool_or(invalidates) FROM y) THEN 'PENDING' ELSE state END AS state FROM (" + "SELECT ['refs', 'quant', 'deseq2', 'corr', 'normalize'][r_regionkey + 1] AS stage, CASE WHEN r_regionkey % 2 = 0 THEN 'DONE' ELSE 'PENDING' END AS state FROM region)")
+def invalidated_stages(spark: SparkSession, sf: str) -> DataFrame:
+    return qc.invalidated_stages(_stages(spark, sf), _again(spark, sf))
+
+
+def _stages(spark: SparkSession, sf: str) -> DataFrame:
+    """States of the project's stages, one per region."""
+    names = F.array(*[F.lit(x) for x in ("refs", "quant", "deseq2", "corr", "normalize")])
+    key = F.col("r_regionkey")
+    return table(spark, sf, "region").select(F.element_at(names, (key + 1).cast("int")).alias("stage"), F.when(key % 2 == 0, "DONE").otherwise("PENDING").alias("state"))
 
 
 # --- progress -------------------------------------------------------------------------------------
@@ -481,32 +597,140 @@ def _count(states_: tuple[str, ...]) -> str:
     return f"count(*) FILTER ({_in(states_)})"
 
 
+def _project(spark: SparkSession, sf: str, stages: DataFrame | None = None) -> DataFrame:
+    """The snapshot of a project: runs, the first read files as what was downloaded, user events as those of five stages."""
+    stage = F.element_at(F.array(*[F.lit(x) for x in progress.MESSAGES]), (F.col("user_id") % 5 + 1).cast("int"))
+    words = F.element_at(F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in progress.MESSAGES.values()]), (F.col("user_id") % 5 + 1).cast("int"))
+    message = F.when(F.col("event_type") == "view", words[0]).when(F.col("event_type") == "purchase", words[1])
+    events = table(spark, sf, "events").select(
+        stage.alias("stage"), F.col("user_id").alias("run"), message.alias("message"), F.col("ts").alias("at"), F.col("value").alias("amount"), F.col("event_id").alias("seq"),
+    )
+    files = _run_files(spark, sf)
+    return progress.snapshot(_runs(spark, sf), files.where(F.col("file_no") == 1), events, _stages(spark, sf) if stages is None else stages, metadata.expected_bytes(files, "run_accession"))
+
+
 _SNAPSHOT = (
-    _RUNS
-    + f""", c AS (SELECT count(*) AS n_runs, {_count(states.DOWNLOAD_DONE)} AS download_done, {_count(states.PREPROCESS_DONE)} AS preprocess_done, {_count(states.QUANT_DONE)} AS quant_done,
-{_count(states.DE_DONE)} AS de_done, {_count(states.CORR_DONE)} AS corr_done, count(*) FILTER (state LIKE '%\\_FAILED' ESCAPE '\\') AS failed, count(*) FILTER (state LIKE '%\\_RUNNING' ESCAPE '\\' OR state = 'DOWNLOADING') AS running,
-count(*) FILTER (state = 'QUANT_RUNNING') AS quantifying, count(*) FILTER (state = 'PREPROCESS_RUNNING') AS preprocessing, count(*) FILTER (state = 'DOWNLOADING') AS downloading FROM r),
-t AS (SELECT *, 3000.0 AS download_eta, CASE WHEN n_runs - quant_done <= 0 THEN 0 ELSE (n_runs - quant_done) / 0.5 END AS processing_eta FROM c)
+    _LAST_FILES
+    + ", r AS ("
+    + _RUNS.split("r AS (", 1)[1]
+    + f""", a AS (SELECT run_accession, bytes FROM files JOIN reports USING (report_row_id) WHERE file_no = 1 AND kind IN ('FASTQ_R1', 'FASTQ_R2', 'FASTQ_SINGLE', 'SRA')
+), want AS (
+  SELECT sum(CASE WHEN fq > 0 THEN fq WHEN sra > 0 THEN sra ELSE everything END) AS bytes FROM (
+    SELECT coalesce(sum(bytes) FILTER (kind LIKE 'FASTQ%'), 0) AS fq, coalesce(sum(bytes) FILTER (kind = 'SRA'), 0) AS sra, coalesce(sum(bytes), 0) AS everything FROM files GROUP BY report_row_id)
+), ev AS (
+  SELECT user_id % 5 AS stage, user_id, event_type, ts, value, event_id FROM events
+), span AS (
+  SELECT (epoch_us(arg_max(ts, event_id) FILTER (event_type = 'purchase')) - epoch_us(arg_max(ts, event_id) FILTER (event_type = 'view'))) / 1e6 AS s,
+    arg_max(coalesce(value, 0), event_id) FILTER (event_type = 'purchase') AS v FROM ev WHERE stage = 0 GROUP BY user_id
+), rate AS (
+  SELECT stage, count(*) FILTER (event_type = 'purchase') AS n, (epoch_us(max(ts) FILTER (event_type = 'purchase')) - epoch_us(min(ts) FILTER (event_type = 'view'))) / 1e6 AS s,
+    (epoch_us(max(ts) FILTER (event_type = 'purchase')) - epoch_us(max(ts) FILTER (event_type = 'view'))) / 1e6 AS lasts, sum(value) FILTER (event_type = 'purchase') AS v FROM ev GROUP BY stage
+), c AS (
+  SELECT count(*) AS n_runs, {_count(states.DOWNLOAD_DONE)} AS downloaded_states, {_count(states.PREPROCESS_DONE)} AS preprocess_done, {_count(states.QUANT_DONE)} AS quant_done,
+    {_count(states.DE_DONE)} AS de_done, {_count(states.CORR_DONE)} AS corr_done, count(*) FILTER (state LIKE '%\\_FAILED' ESCAPE '\\') AS failed,
+    count(*) FILTER (state = 'QUANT_RUNNING') AS quantifying, count(*) FILTER (state = 'PREPROCESS_RUNNING') AS preprocessing, count(*) FILTER (state = 'DOWNLOADING') AS downloading,
+    count(*) FILTER (state IN ('PREPROCESS_DONE', 'QUANT_RUNNING', 'QUANT_FAILED', 'DE_RUNNING', 'DE_DONE', 'DE_FAILED', 'CORR_RUNNING', 'CORR_DONE', 'CORR_FAILED', 'CLEANED')) AS waiting FROM r
+), d AS (
+  SELECT *, (SELECT count(DISTINCT k) FROM (SELECT run_accession AS k FROM a UNION ALL SELECT run_accession FROM r WHERE {_in(states.DOWNLOAD_DONE)})) AS download_done,
+    (SELECT coalesce(sum(bytes), 0) FROM a) AS downloaded_bytes,
+    coalesce((SELECT CASE WHEN sum(v) / sum(s) > 0 THEN sum(v) / sum(s) END FROM span WHERE s > 0), (SELECT CASE WHEN s > 0 THEN v / s END FROM rate WHERE stage = 0), 0) AS byte_rate,
+    coalesce((SELECT CASE WHEN s > 0 THEN n / s END FROM rate WHERE stage = 1), 0) AS preprocess_rate, coalesce((SELECT CASE WHEN s > 0 THEN n / s END FROM rate WHERE stage = 2), 0) AS quant_rate,
+    (SELECT CASE WHEN lasts > 0 THEN lasts END FROM rate WHERE stage = 4) AS corr_seconds FROM c
+), w AS (
+  SELECT *, greatest((SELECT bytes FROM want), downloaded_bytes) AS expected_bytes FROM d
+), left_over AS (
+  SELECT *, CASE WHEN expected_bytes <= downloaded_bytes THEN 0 WHEN byte_rate > 0 THEN (expected_bytes - downloaded_bytes) / byte_rate END AS download_eta,
+    CASE WHEN n_runs <= preprocess_done THEN 0 WHEN preprocess_rate > 0 THEN (n_runs - preprocess_done) / preprocess_rate END AS p,
+    CASE WHEN waiting <= quant_done THEN 0 WHEN quant_rate > 0 THEN (waiting - quant_done) / quant_rate END AS q,
+    CASE WHEN corr_done = n_runs THEN 0 ELSE corr_seconds END AS cc, corr_done = n_runs AS corr_complete FROM w
+), z AS (
+  SELECT *, CASE WHEN p IS NOT NULL THEN CASE WHEN q IS NOT NULL AND cc IS NOT NULL THEN p + q + cc WHEN q IS NOT NULL THEN p + q WHEN cc IS NOT NULL THEN p + cc ELSE p END
+    WHEN q IS NOT NULL AND cc IS NOT NULL THEN q + cc WHEN q IS NOT NULL THEN q WHEN cc IS NOT NULL THEN cc ELSE 0 END AS processing_eta,
+    CASE WHEN quantifying > 0 THEN 'quantification' WHEN preprocessing > 0 THEN 'preprocessing' WHEN downloading > 0 THEN 'download' WHEN NOT corr_complete THEN 'correlation' ELSE 'complete' END AS active_stage FROM left_over
+), snap AS (
+  SELECT *, greatest(download_eta, processing_eta) AS total_eta, CASE WHEN download_eta >= processing_eta THEN 'download' ELSE 'processing' END AS limiting_stage, CASE active_stage
+    WHEN 'quantification' THEN printf('quantifying %d run(s); %d/%d complete', quantifying, quant_done, n_runs) WHEN 'preprocessing' THEN printf('preprocessing %d run(s); %d/%d complete', preprocessing, preprocess_done, n_runs)
+    WHEN 'download' THEN printf('downloading %d run(s); %d/%d completed', downloading, downloaded_states, n_runs) WHEN 'correlation' THEN printf('running adjusted correlation on %d samples', n_runs)
+    ELSE printf('all stages complete for %d runs', n_runs) END AS active_detail FROM z
+)
 """
 )
-
-
 @query(
     _SNAPSHOT
-    + """SELECT n_runs, download_done, preprocess_done, quant_done, de_done, corr_done, failed, running, download_eta, processing_eta, greatest(download_eta, processing_eta) AS total_eta,
-CASE WHEN download_eta >= processing_eta THEN 'download' ELSE 'processing' END AS limiting_stage,
-CASE WHEN quantifying > 0 THEN 'quantification' WHEN preprocessing > 0 THEN 'preprocessing' WHEN downloading > 0 THEN 'download' WHEN n_runs > 0 AND de_done = n_runs AND corr_done < n_runs THEN 'correlation'
-WHEN n_runs > 0 AND quant_done = n_runs AND de_done < n_runs THEN 'normalization' WHEN n_runs > 0 AND corr_done = n_runs THEN 'complete' ELSE 'waiting' END AS active_stage FROM t"""
+    + """SELECT n_runs, download_done, preprocess_done, quant_done, failed, true AS normalize_done, corr_complete, downloaded_bytes, expected_bytes, round(byte_rate, 9) AS byte_rate, round(preprocess_rate, 9) AS preprocess_rate,
+round(quant_rate, 9) AS quant_rate, round(download_eta, 1) AS download_eta, round(processing_eta, 1) AS processing_eta, round(total_eta, 1) AS total_eta, limiting_stage, active_stage, active_detail FROM snap"""
 )
 def progress_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    snap = progress.snapshot(_runs(spark, sf), F.lit(1e9), F.lit(4e9), F.lit(1e6), F.lit(0.5))
-    return snap.select("n_runs", "download_done", "preprocess_done", "quant_done", "de_done", "corr_done", "failed", "running", "download_eta", "processing_eta", "total_eta", "limiting_stage", "active_stage")
+    r = lambda c, n: F.round(c, n).alias(c)
+    return _project(spark, sf).select(
+        "n_runs", "download_done", "preprocess_done", "quant_done", "failed", "normalize_done", "corr_complete", "downloaded_bytes", "expected_bytes", r("byte_rate", 9), r("preprocess_rate", 9),
+        r("quant_rate", 9), r("download_eta", 1), r("processing_eta", 1), r("total_eta", 1), "limiting_stage", "active_stage", "active_detail",
+    )
+
+
+_HMS = "lpad(CAST({x} // 3600 AS VARCHAR), CAST(greatest(2, len(CAST({x} // 3600 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST({x} % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST({x} % 60 AS VARCHAR), 2, '0')"
+
+
+def _eta(c: str, complete: str) -> str:
+    seconds = f"CAST(floor({c}) AS BIGINT)"
+    return f"CASE WHEN {c} IS NOT NULL AND ({complete} OR {c} > 0) THEN {_HMS.format(x=seconds)} WHEN {complete} THEN '00:00:00' ELSE 'estimating' END"
+
 
+_PART = "printf('%d/%d (%.1f%%)', {a}, n_runs, {a} * 100.0 / n_runs)"
+_LIMIT = 200_000_000_000
 
-@query(_SNAPSHOT + "SELECT metric, CAST(value AS VARCHAR) AS value FROM (UNPIVOT (SELECT n_runs, download_done, quant_done, failed FROM t) ON n_runs, download_done, quant_done, failed INTO NAME metric VALUE value)")
+
+@query(
+    _SNAPSHOT
+    + f""", qc AS (SELECT l_suppkey, sum(l_quantity) FILTER (l_returnflag = 'N') * 2 >= sum(l_quantity) AS ok FROM lineitem GROUP BY 1), size AS (SELECT CAST(sum(l_extendedprice) AS BIGINT) AS b FROM lineitem),
+rep AS (SELECT CAST(n_runs AS VARCHAR) AS runs_total, CAST((SELECT b FROM size) AS VARCHAR) AS active_storage_bytes, '{_LIMIT}' AS storage_limit_bytes, printf('%.1f', (SELECT b FROM size) * 100.0 / {_LIMIT}) AS storage_limit_utilization_pct,
+  {_PART.format(a='download_done')} AS progress_download, {_PART.format(a='preprocess_done')} AS progress_preprocess, CAST((SELECT count(*) FROM qc) AS VARCHAR) AS preprocess_qc_records,
+  CAST((SELECT count(*) FILTER (NOT ok) FROM qc) AS VARCHAR) AS preprocess_qc_failed, {_PART.format(a='quant_done')} AS progress_quant, '1/1 (100.0%)' AS progress_deseq2,
+  CASE WHEN corr_complete THEN '1/1 (100.0%)' ELSE '0/1 (0.0%)' END AS progress_corr, CAST(downloaded_bytes AS VARCHAR) AS downloaded_bytes, CAST(expected_bytes AS VARCHAR) AS expected_total_download_bytes,
+  CASE WHEN byte_rate > 0 THEN printf('%.2f', byte_rate / 1048576) ELSE 'unknown' END AS download_speed_mbps, CASE WHEN quant_rate > 0 THEN printf('%.2f', quant_rate * 3600) ELSE 'unknown' END AS quant_rate_runs_per_hour,
+  {_eta('download_eta', 'download_done >= n_runs')} AS eta_download, {_eta('processing_eta', "active_stage = 'complete'")} AS eta_processing, {_eta('total_eta', "active_stage = 'complete'")} AS eta_total,
+  limiting_stage, active_detail AS active FROM snap)
+SELECT metric, value FROM (UNPIVOT rep ON COLUMNS(*) INTO NAME metric VALUE value)"""
+)
 def status_report(spark: SparkSession, sf: str) -> DataFrame:
-    snap = progress.snapshot(_runs(spark, sf), F.lit(1e9), F.lit(4e9), F.lit(1e6), F.lit(0.5))
-    return progress.status_rows(snap.select("n_runs", "download_done", "quant_done", "failed"))
+    items = table(spark, sf, "lineitem")
+    stored = items.agg(F.round(F.sum("l_extendedprice")).cast("long")).scalar()
+    judged = items.groupBy("l_suppkey").agg((F.coalesce(F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity"))), F.lit(0.0)) * 2 >= F.sum("l_quantity")).alias("gate_passed"))
+    return progress.status_report(_project(spark, sf), stored, _LIMIT, judged)
+
+
+_POLICIES = {"both": "false", "original": "kind IN ('FASTQ_TRIMMED_R1', 'FASTQ_TRIMMED_R2', 'FASTQ_TRIMMED_SINGLE')", "trimmed": "kind IN ('FASTQ_R1', 'FASTQ_R2', 'FASTQ_SINGLE')", "none": "kind LIKE 'FASTQ%'"}
+_KINDS = ("FASTQ_R1", "FASTQ_R2", "FASTQ_SINGLE", "FASTQ_TRIMMED_R1", "FASTQ_TRIMMED_R2", "FASTQ_TRIMMED_SINGLE", "SRA", "ABUNDANCE_H5", "RUN_INFO_JSON", "VST")
+
+
+def _artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    """Artifacts made of the order lines: their order is the run."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("l_partkey") % 10 + 1).cast("int"))
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("run_accession"), kind.alias("kind"), "l_partkey", "l_linenumber", (F.col("l_quantity") - 5).alias("bytes"))
+
+
+_ARTIFACTS = "art AS (SELECT l_orderkey AS run_accession, [" + ", ".join(f"'{k}'" for k in _KINDS) + "][l_partkey % 10 + 1] AS kind, l_partkey, l_linenumber, l_quantity - 5 AS bytes FROM lineitem)"
+
+
+@query(f"WITH {_ARTIFACTS} " + " UNION ALL ".join(f"SELECT '{k}' AS policy, run_accession, kind, l_partkey, l_linenumber FROM art WHERE {v}" for k, v in _POLICIES.items()))
+def retention_removals(spark: SparkSession, sf: str) -> DataFrame:
+    rows = [states.removable(_artifacts(spark, sf), p).select(F.lit(p).alias("policy"), "run_accession", "kind", "l_partkey", "l_linenumber") for p in _POLICIES]
+    return reduce(DataFrame.unionByName, rows)
+
+
+_ORDER_STATE = "[" + ", ".join(f"'{x}'" for x in states.RUN_STATES) + f"][o_custkey % {len(states.RUN_STATES)} + 1]"
+
+
+@query(
+    f"""WITH {_ARTIFACTS}, st AS (SELECT o_orderkey AS run_accession, {_ORDER_STATE} AS state FROM orders), b AS (SELECT *, {_RECOVERED} AS back FROM st),
+f AS (SELECT run_accession, bool_or(kind IN ('FASTQ_R1', 'FASTQ_R2', 'FASTQ_SINGLE', 'SRA')) AS raw, bool_or(kind = 'ABUNDANCE_H5') AND bool_or(kind = 'RUN_INFO_JSON') AS quant FROM art WHERE bytes > 0 GROUP BY 1),
+v AS (SELECT b.*, CASE WHEN raw AND back IN ('NEW', 'RESOLVED', 'DOWNLOADING', 'DOWNLOADED', 'DOWNLOAD_FAILED', 'VERIFY_FAILED') THEN 'VERIFIED' ELSE back END AS seen, coalesce(quant, false) AS quant FROM b LEFT JOIN f USING (run_accession)),
+n AS (SELECT *, CASE WHEN quant AND seen IN ('VERIFIED', 'PREPROCESS_DONE', 'QUANT_RUNNING', 'QUANT_FAILED') THEN 'QUANT_DONE' ELSE seen END AS new_state FROM v)
+SELECT run_accession, state, new_state, CASE WHEN new_state <> seen THEN 'quantification reconciled from existing outputs' WHEN seen <> back THEN 'download state reconciled from existing artifacts' WHEN back <> state THEN 'interrupted work recovered' END AS event FROM n"""
+)
+def restart_states(spark: SparkSession, sf: str) -> DataFrame:
+    state = F.element_at(F.array(*[F.lit(x) for x in states.RUN_STATES]), (F.col("o_custkey") % len(states.RUN_STATES) + 1).cast("int"))
+    return states.reconcile(table(spark, sf, "orders").select(F.col("o_orderkey").alias("run_accession"), state.alias("state")), _artifacts(spark, sf))
 
 
 # --- annotation -----------------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from cohortloom.operators.matrix import sample_order, to_vectors
 
 _NUMBER = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
+# The fields of a run report.
 REPORT_COLUMNS = (
     "run_accession", "study_accession", "secondary_study_accession", "experiment_accession", "sample_accession", "secondary_sample_accession",
     "library_layout", "instrument_platform", "instrument_model", "fastq_ftp", "fastq_md5", "fastq_bytes", "submitted_ftp", "submitted_md5",
@@ -166,3 +167,16 @@ def verify_files(found: DataFrame, announced: DataFrame) -> DataFrame:
 def vectors_of_long(long: DataFrame) -> tuple[DataFrame, list]:
     samples = sample_order(long)
     return to_vectors(long, samples), samples
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def verify_blobs(spark: SparkSession, root: str) -> DataFrame:
+    """``path, digest, verified`` of every blob of a content-addressed store: whether its content has the digest that is its name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/blobs/sha256")
+    digest = basename(F.col("path"))
+    return files.select("path", digest.alias("digest"), (F.sha2("content", 256) == digest).alias("verified"))

@@ -94,9 +94,9 @@ def test_gate(spark, tmp_path):
     rates = qc.gate_rates(qc.qc_record(R.read_qc_reports(spark, str(tmp_path))))
     got = {r.path[-6]: r for r in qc.apply_gate(rates).collect()}
     assert (got["a"].passed, got["a"].failed, got["a"].gate_passed) == (92, 8, True)
-    assert got["c"].total == 0 and got["c"].gate_reason == "pass_rate" and got["c"].mode == "unknown"
+    assert got["c"].total == 0 and got["c"].gate_reason == "pass_rate 0.0000 < 0.6000" and got["c"].mode == "unknown"
     strict = {r.path[-6]: r for r in qc.apply_gate(rates, qc.Gate(min_pass_rate=0.8, max_low_quality_rate=0.1)).collect()}
-    assert strict["b"].gate_reason == "pass_rate; low_quality_rate"
+    assert strict["b"].gate_reason == "pass_rate 0.7000 < 0.8000; low_quality_rate 0.2000 > 0.1000"
 
 
 def test_checksums_manifest_and_cache(spark, tmp_path):
@@ -115,14 +115,56 @@ def test_checksums_manifest_and_cache(spark, tmp_path):
 
 
 def test_samplesheet_and_column_map(spark, tmp_path):
-    runs = spark.createDataFrame([("p", "R1"), ("p", "R2")], "project_id string, run_accession string")
-    md = spark.createDataFrame([("R1", {"z": "1", "a": "2"})], "run_accession string, metadata map<string,string>")
-    assert W.write_samplesheet(runs, md, str(tmp_path / "s")) == ["project_id", "run_accession", "a", "z"]
-    assert R.read_samplesheet(spark, str(tmp_path / "s")).count() == 2
+    runs = spark.createDataFrame([("p", "S", "R2", "PAIRED", "x"), ("p", "S", "R1", "SINGLE", "x")], "project_id string, study_accession string, run_accession string, library_layout string, state string")
+    md = spark.createDataFrame([("R1", {"z": "1", "a": "2", "condition": "c1"}), ("R2", {"a": "3", "lane": "L4", "center": "C"})], "run_accession string, metadata map<string,string>")
+    cmap = spark.createDataFrame([("lane", "batch"), ("a", "condition"), ("q", None)], "source_column string, canonical_field string")
+    art = spark.createDataFrame([("R1", "FASTQ_SINGLE", "f/1"), ("R2", "FASTQ_R1", "f/2b"), ("R2", "FASTQ_R1", "f/2a"), ("R2", "FASTQ_R2", "f/2z"), (None, "FASTQ_R1", "f/0")], "run_accession string, kind string, path string")
+    header = W.write_samplesheet(runs, md, cmap, art, str(tmp_path / "s"))
+    assert header == [*W.SHEET_COLUMNS, "a", "center", "lane", "z"]
+    rows = [r.asDict() for r in R.read_samplesheet(spark, str(tmp_path / "s")).collect()]
+    got = {r["run_accession"]: (r["read1_path"], r["read2_path"], r["condition"], r["batch"], r["a"], r["z"]) for r in rows}
+    assert got == {"R1": ("f/1", None, "c1", None, "2", "1"), "R2": ("f/2a", "f/2z", "3", "L4", "3", None)}
+    assert W.write_samplesheet_schema(str(tmp_path / "s.json"))["stable_columns"][8:] == ["read1_path", "read2_path", "condition", "batch"]
     (tmp_path / "c.tsv").write_text("source_column\tcanonical_field\na\tcondition\nb\t\n")
     assert [tuple(r) for r in R.read_column_map(spark, str(tmp_path / "c.tsv")).collect()] == [("a", "condition")]
 
 
+def test_result_tables(spark, tmp_path):
+    notes = spark.createDataFrame([("g1", "ABC", "coding"), ("g2.4", "DEF", None)], "gene_id string, gene_name string, gene_biotype string")
+    edges = spark.createDataFrame([("g1", "g2", 0.5), ("g2", "g3", -0.25)], "gene_a string, gene_b string, r double")
+    W.write_edges(edges, str(tmp_path / "edges_topk.tsv"), notes)
+    assert tuple(R._tsv(spark, str(tmp_path / "edges_topk.tsv")).columns) == W.EDGE_COLUMNS
+    rows = {tuple(r) for r in R._tsv(spark, str(tmp_path / "edges_topk_annotated.tsv")).collect()}
+    assert rows == {("g1", "ABC", "coding", "g2", "DEF", None, "0.5"), ("g2", "DEF", None, "g3", None, None, "-0.25")}
+    square = spark.createDataFrame([(a, b, 1.0 if a == b else 0.5) for a in "xy" for b in "xy"], "gene_a string, gene_b string, r double")
+    W.write_dense_correlation(square, str(tmp_path / "corr_dense.tsv"))
+    assert [tuple(r) for r in R._tsv(spark, str(tmp_path / "corr_dense.tsv")).orderBy("gene_id").collect()] == [("x", "1.0", "0.5"), ("y", "0.5", "1.0")]
+    ranked = spark.createDataFrame([("M0001", 2, "g1", 1, 1, 0.5), ("M0001", 2, "g2", 2, 2, 0.25)], "module_id string, module_size long, gene string, ord long, rank_in_module long, connectivity double")
+    stats = spark.createDataFrame([("M0001", "g1", 0.5, 2.0)], "module_id string, gene_id string, r double, t double")
+    tested = spark.createDataFrame([("M0001", "p", 12, 0.5, 1.0, 0.1, 0.2, 0.3, 4)], "module_id string, pathway string, size long, es double, nes double, p_value double, padj double, log2err double, leading_edge_size long")
+    W.write_modules(ranked, stats, tested, str(tmp_path))
+    for name, columns in (("modules_top_genes.tsv", W.MODULE_COLUMNS), ("module_t_values.tsv", W.TSTAT_COLUMNS), ("module_fgsea.tsv", W.ENRICHMENT_COLUMNS)):
+        assert tuple(R._tsv(spark, str(tmp_path / name)).columns) == columns
+    long = spark.createDataFrame([("g1", "r1", 1.5), ("g1", "r2", 2.5)], "gene_id string, sample_id string, value double")
+    factors = spark.createDataFrame([("r1", 1.0), ("r2", 2.0)], "sample_id string, size_factor double")
+    de = spark.createDataFrame([("g1", 2.0)], "gene_id string, base_mean double")
+    assert "de_a_vs_b_.tsv" in W.write_expression(long, long, long, factors, {"a vs b?": de}, str(tmp_path / "de"), notes)
+    assert R._tsv(spark, str(tmp_path / "de" / "vst_annotated.tsv")).columns == ["gene_id", "gene_symbol", "gene_biotype", "r1", "r2"]
+    assert R._tsv(spark, str(tmp_path / "de" / "size_factors.tsv")).columns == ["run_accession", "size_factor"]
+
+
+def test_folder_size_and_blobs(spark, tmp_path):
+    import hashlib
+
+    for text in (b"abc", b"defg"):
+        digest = hashlib.sha256(text).hexdigest()
+        place = tmp_path / "blobs" / "sha256" / digest[:2] / digest[2:4]
+        place.mkdir(parents=True)
+        (place / digest).write_bytes(text if text == b"abc" else b"other")
+    assert R.folder_size(spark, str(tmp_path)) == 8
+    assert sorted(r.verified for r in R.verify_blobs(spark, str(tmp_path)).collect()) == [False, True]
+
+
 def test_remote_source_is_known(spark):
     from cohortloom.sources.remote import register
 

@@ -131,11 +131,85 @@ def test_bh_and_normalization(spark):
     y = rng.negative_binomial(10, 10 / (10 + 50), size=(40, 12)).astype(float)
     y[0, 6:] *= 8
     design_ = np.column_stack([np.ones(12), np.repeat([0.0, 1.0], 6)])
-    tested = {r.gene_id: r for r in normalize.wald_test(vectors(spark, np.vstack([y, np.zeros(12)])), np.ones(12), design_, np.array([0.0, 1.0])).collect()}
+    tested = {r.gene_id: r for r in normalize.wald_test(vectors(spark, np.vstack([y, np.zeros(12)])), np.ones(12), design_, {"c": np.array([0.0, 1.0])}).collect()}
     assert tested["g000"].log2_fold_change == pytest.approx(3, abs=0.8) and tested["g000"].padj < 0.001
     assert tested["g040"].p_value is None and sum((r.padj or 1) < 0.01 for r in tested.values()) <= 4
 
 
+def test_trend_and_shrinkage(spark):
+    rng = np.random.default_rng(7)
+    mean = np.exp(rng.uniform(1, 9, 1500))
+    own = (3.0 / mean + 0.2) * rng.gamma(20, 1 / 20, 1500)
+    df = spark.createDataFrame([(f"g{i}", float(m), float(d)) for i, (m, d) in enumerate(zip(mean, own, strict=True))] + [("zero", 0.0, 1e-8)], "gene_id string, mean double, dispersion double")
+    a, e = normalize.fit_trend(df)
+    assert a == pytest.approx(0.2, rel=0.1) and e == pytest.approx(3.0, rel=0.15)
+    rows = normalize.shrunk_dispersions(df, a, e, 10).where("mean > 0").collect()
+    assert all(min(r.dispersion, r.trend) * 0.999 <= r.alpha <= max(r.dispersion, r.trend) * 1.001 for r in rows)
+    assert normalize._trigamma(1.0) == pytest.approx(np.pi**2 / 6, abs=1e-7) and normalize._trigamma(7.5) == pytest.approx(np.pi**2 / 2 - 4 * sum(1 / (2 * k - 1) ** 2 for k in range(1, 8)), abs=1e-7)
+    flat = spark.createDataFrame([("a", 1.0, 0.1), ("b", 10.0, 0.2), ("c", 100.0, 0.9)], "gene_id string, mean double, dispersion double")
+    assert normalize.fit_trend(flat) == (pytest.approx(0.4), 0.0)
+    assert normalize.fit_trend(flat.limit(0)) == (1e-8, 0.0)
+
+
+def test_fit_solves_its_equations():
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.ones(20), np.arange(20) % 2, rng.normal(size=20)])
+    size, alpha = rng.uniform(0.5, 2, 20), np.array([0.05, 0.3, 1.0])
+    y = rng.negative_binomial(5, 0.1, (3, 20)).astype(float)
+    beta, cov = normalize._fit(y, x, np.log(size), alpha)
+    mu = np.exp(beta @ x.T) * size
+    score = ((y - mu) / (1 + alpha[:, None] * mu)) @ x
+    assert np.abs(score - 1e-6 * beta).max() < 1e-4
+    assert np.allclose(cov[1], np.linalg.inv(x.T @ ((mu[1] / (1 + 0.3 * mu[1]))[:, None] * x) + np.eye(3) * 1e-6))
+
+
+def test_contrasts(spark):
+    assert normalize.parse_contrasts(["t", "x", "y"]) == [("t", "x", "y", "t_x_vs_y")] and normalize.contrast("t|x|y|own")[3] == "own"
+    for bad in (lambda: normalize.parse_contrasts(["t", "x"]), lambda: normalize.contrast("t|x"), lambda: normalize.check_contrasts([("q", "a", "b", "n")], ["t"]), lambda: normalize.check_runs(1, "deseq2")):
+        with pytest.raises(ValueError):
+            bad()
+    names = ["Intercept", "t=b", "t=c"]
+    assert normalize.contrast_vector(names, "t", "c", "b", ["a", "b", "c"]).tolist() == [0, -1, 1] and normalize.contrast_vector(names, "t", "b", "a", ["a", "b", "c"]).tolist() == [0, 1, 0]
+    with pytest.raises(ValueError):
+        normalize.contrast_vector(names, "t", "d", "a", ["a", "b", "c"])
+    rng = np.random.default_rng(11)
+    y = rng.negative_binomial(10, 10 / 70, size=(60, 12)).astype(float)
+    y[0, 4:8] *= 6
+    x = np.column_stack([np.ones(12), np.repeat([0.0, 1.0, 0.0], 4), np.repeat([0.0, 0.0, 1.0], 4)])
+    wanted = {"ba": (0, 1, 0), "ab": (0, -1, 0), "bc": (0, 1, -1)}
+    rows = normalize.wald_test(vectors(spark, y), np.ones(12), x, {k: np.array(v, float) for k, v in wanted.items()}).collect()
+    got = {(r.contrast, r.gene_id): r for r in rows}
+    assert len(rows) == 180
+    assert got["ba", "g000"].log2_fold_change == pytest.approx(2.6, abs=0.9) and got["ba", "g000"].padj < 0.01
+    for i in range(60):
+        assert got["ab", f"g{i:03d}"].log2_fold_change == pytest.approx(-got["ba", f"g{i:03d}"].log2_fold_change, abs=1e-9)
+    a = {r.gene_id: r for r in rows if r.contrast == "bc"}
+    assert a["g000"].stat > 3
+
+
+def test_count_modes(spark):
+    df = spark.createDataFrame([("g", "s", 10.0, 4.0, 2.0), ("h", "s", 30.0, 4.0, 6.0)], "gene_id string, sample_id string, counts double, tpm double, length double")
+    got = {m: {r.gene_id: r.value for r in normalize.gene_counts(df, m).collect()} for m in normalize.COUNT_MODES}
+    assert got == {"no": {"g": 10.0, "h": 30.0}, "scaledTPM": {"g": 20.0, "h": 20.0}, "lengthScaledTPM": {"g": 10.0, "h": 30.0}}
+    with pytest.raises(ValueError):
+        normalize.gene_counts(df, "other")
+
+
+def test_transformations_even_out_the_variance(spark):
+    rng = np.random.default_rng(8)
+    mean = np.exp(np.linspace(2, 8, 60))
+    y = rng.negative_binomial(5, 5 / (5 + mean[:, None]), size=(60, 30)).astype(float)
+    long = spark.createDataFrame([(f"g{i:02d}", f"s{j:02d}", float(y[i, j])) for i in range(60) for j in range(30)], "gene_id string, sample_id string, value double")
+    factors = spark.createDataFrame([(f"s{j:02d}", 1.0) for j in range(30)], "sample_id string, size_factor double")
+    names = [f"s{j:02d}" for j in range(30)]
+    for method in ("vst", "rlog"):
+        rows = normalize.stabilized(long, factors, names, method).groupBy("gene_id").agg(F.stddev("value").alias("sd")).orderBy("gene_id").collect()
+        low, high = np.mean([r.sd for r in rows[:20]]), np.mean([r.sd for r in rows[40:]])
+        assert 0.4 < low / high < 1.6
+    with pytest.raises(ValueError):
+        normalize.stabilized(long, factors, names, "log")
+
+
 def test_average_rank(spark):
     df = spark.createDataFrame([("a", 2.0), ("a", 1.0), ("a", 2.0), ("a", 5.0)], "g string, v double")
     assert sorted(r["rank"] for r in matrix.average_rank(df, ["g"], "v").collect()) == [1.0, 2.5, 2.5, 4.0]
