@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from cohortloom.session import cut_lineage
 
 METHODS = ("pearson", "spearman", "kendall", "bicor", "hellcor")
-#: Bytes of one block's vectors, and the most rows it has.
-BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 512
+#: Bytes of one block's vectors, the most rows it has, and the rows whose products a task holds at a time. Each
+#: block travels once for each other one, so they are large, and are cut into tiles only where they have met.
+BLOCK_BYTES, BLOCK_ROWS, TILE_ROWS = 16 << 20, 4096, 512
 #: Decimals to which correlations are rounded before they are ranked, so that ties stay ties.
 DECIMALS = 9
 
@@ -54,8 +55,10 @@ def kendall_signs(x: np.ndarray) -> np.ndarray:
     """Signs of all differences in a row, a byte each: the cosine of two such rows is Kendall's tau-b."""
     i, j = np.triu_indices(x.shape[1], 1)
     out = np.empty((len(x), len(i)), np.int8)
-    for k, row in enumerate(x):
-        out[k] = np.sign(row[i] - row[j])
+    step = max(1, (1 << 22) // max(1, len(i)))
+    for k in range(0, len(x), step):
+        rows = x[k : k + step]
+        out[k : k + step] = np.sign(rows[:, i] - rows[:, j])
     return out
 
 
@@ -117,23 +120,34 @@ def _products(a: np.ndarray, b: np.ndarray, method: str) -> np.ndarray:
     return sign_products(a, b) if method == "kendall" else a @ b.T
 
 
-def blocks(vectors: DataFrame, method: str, width: int, gene: str = "gene_id") -> tuple[DataFrame, int]:
+def _stack(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The rows of a column of equally long arrays; nulls are NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
+    return flat.reshape(len(column), -1)
+
+
+def prepared(x: np.ndarray, method: str) -> np.ndarray:
+    """What of the rows enters the products of a method."""
+    make = _VECTORS.get(method)
+    return make(x) if make else ranks(x) / (x.shape[1] + 1.0)
+
+
+def blocks(vectors: DataFrame, method: str, width: int, gene: str = "gene_id", total: int | None = None) -> tuple[DataFrame, int]:
     """The rows ``gene_id, ord, values`` as blocks ``block, genes, ords, z`` and the number of blocks.
 
     A block holds a bounded number of rows; ``ord`` runs from 1 without gaps.
     """
     length = width * (width - 1) // 2 if method == "kendall" else 8 * width
-    total = vectors.count()
+    total = vectors.count() if total is None else total
     slots = max(2, vectors.sparkSession.sparkContext.defaultParallelism)
     even = max(16, -(-total // slots))  # at least as many blocks as slots, if there are rows for it
     size = int(max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, length), even)))
-    make = _VECTORS.get(method)
     placed = vectors.select(F.floor((F.col("ord") - 1) / size).cast("int").alias("block"), "ord", gene, "values")
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("ord")
-        x = np.array(table["values"].to_pylist(), float).reshape(table.num_rows, -1)
-        z = make(x) if make else ranks(x) / (x.shape[1] + 1.0)
+        z = prepared(_stack(table["values"]), method)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "genes": [table[gene].to_pylist()], "ords": [table["ord"].to_pylist()], "z": pa.array([np.ascontiguousarray(z).tobytes()], pa.binary())})
 
     kind = vectors.schema[gene].dataType.simpleString()
@@ -161,8 +175,8 @@ def pairwise(
     return _pairs(kept, method, width, top, least, positive, diagonal, gene)
 
 
-def _pairs(vectors: DataFrame, method: str, width: int, top: int | None = None, least: float | None = None, positive: bool = False, diagonal: bool = False, gene: str = "gene_id") -> DataFrame:
-    built, count = blocks(vectors, method, width, gene)
+def _pairs(vectors: DataFrame, method: str, width: int, top: int | None = None, least: float | None = None, positive: bool = False, diagonal: bool = False, gene: str = "gene_id", total: int | None = None) -> DataFrame:
+    built, count = blocks(vectors, method, width, gene, total)
     last = max(0, count - 1)
     left = built.select(F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(last))).alias("bj"), F.col("genes").alias("ga"), F.col("ords").alias("oa"), F.col("z").alias("za"))
     right = built.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi"), F.col("block").alias("bj"), F.col("genes").alias("gb"), F.col("ords").alias("ob"), F.col("z").alias("zb"))
@@ -170,45 +184,43 @@ def _pairs(vectors: DataFrame, method: str, width: int, top: int | None = None,
     kind = vectors.schema[gene].dataType.simpleString()
 
     def half(r: np.ndarray, side: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the ``top`` best of each row of ``r``."""
+        """Positions of the ``top`` best of each row of ``r``; ``other`` is ascending, so ties go by position."""
         score = r if positive else np.abs(r)
         score = np.where(np.isfinite(r) & (side[:, None] != other[None, :]) & ((r > 0) if positive else True), score, -1.0)
-        keep = min(top, score.shape[1])
-        order = np.lexsort((np.broadcast_to(other, score.shape), -score), axis=1)[:, :keep]
-        rows = np.repeat(np.arange(len(side)), keep)
-        cols = order.ravel()
-        fine = score[rows, cols] >= 0
-        return rows[fine], cols[fine]
+        fine = score >= 0
+        if score.shape[1] > top:
+            limit = np.partition(score, -top, axis=1)[:, -top, None]
+            above, even = score > limit, score == limit
+            fine &= above | (even & (np.cumsum(even, axis=1) <= top - above.sum(1, keepdims=True)))
+        return np.nonzero(fine)
+
+    def wanted(r: np.ndarray, oa: np.ndarray, ob: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        mask = np.ones(r.shape, bool) if diagonal else np.isfinite(r)
+        if least is not None:
+            mask &= np.abs(r) >= least
+        if positive:
+            mask &= r > 0
+        if same and not diagonal:
+            mask &= oa[:, None] < ob[None, :]
+        return np.nonzero(mask)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["gene_a", "gene_b", "ord_a", "ord_b", "r"]
         for batch in batches:
-            for m in batch.to_pylist():
-                oa, ob = np.array(m["oa"]), np.array(m["ob"])
-                ga, gb = np.array(m["ga"], object), np.array(m["gb"], object)
-                za, zb = _rows_of(m["za"], len(oa), method), _rows_of(m["zb"], len(ob), method)
-                r = np.round(np.clip(_products(za, zb, method), -1.0, 1.0), DECIMALS) + 0.0
-                same = m["bi"] == m["bj"]
-                picks: list[tuple] = []
-                if top is not None:
-                    i, j = half(r, oa, ob)
-                    picks.append((ga[i], gb[j], oa[i], ob[j], r[i, j]))
-                    if not same:
-                        j, i = half(r.T, ob, oa)
-                        picks.append((gb[j], ga[i], ob[j], oa[i], r[i, j]))
-                else:
-                    wanted = np.ones(r.shape, bool) if diagonal else np.isfinite(r)
-                    if least is not None:
-                        wanted &= np.abs(r) >= least
-                    if positive:
-                        wanted &= r > 0
-                    if same and not diagonal:
-                        wanted &= oa[:, None] < ob[None, :]
-                    i, j = np.nonzero(wanted)
-                    picks.append((ga[i], gb[j], oa[i], ob[j], r[i, j]))
-                    if diagonal and not same:
-                        picks.append((gb[j], ga[i], ob[j], oa[i], r[i, j]))
-                for a, b, x, y, v in picks:
-                    yield pa.RecordBatch.from_arrays([pa.array(a.tolist(), batch.schema.field("ga").type.value_type), pa.array(b.tolist(), batch.schema.field("ga").type.value_type), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(v, pa.float64())], names=["gene_a", "gene_b", "ord_a", "ord_b", "r"])
+            for k in range(batch.num_rows):
+                ga, gb = batch.column("ga")[k].values, batch.column("gb")[k].values
+                oa, ob = batch.column("oa")[k].values.to_numpy(), batch.column("ob")[k].values.to_numpy()
+                za, zb = _rows_of(batch.column("za")[k].as_py(), len(oa), method), _rows_of(batch.column("zb")[k].as_py(), len(ob), method)
+                same = batch.column("bi")[k].as_py() == batch.column("bj")[k].as_py()
+                for at in range(0, len(oa), TILE_ROWS):
+                    o = oa[at : at + TILE_ROWS]
+                    r = np.round(np.clip(_products(za[at : at + TILE_ROWS], zb, method), -1.0, 1.0), DECIMALS) + 0.0
+                    i, j = half(r, o, ob) if top is not None else wanted(r, o, ob, same)
+                    yield pa.RecordBatch.from_arrays([ga.take(pa.array(i + at)), gb.take(pa.array(j)), pa.array(o[i]), pa.array(ob[j]), pa.array(r[i, j])], names=names)
+                    if not same and (top is not None or diagonal):
+                        if top is not None:
+                            j, i = half(r.T, ob, o)
+                        yield pa.RecordBatch.from_arrays([gb.take(pa.array(j)), ga.take(pa.array(i + at)), pa.array(ob[j]), pa.array(o[i]), pa.array(r[i, j])], names=names)
 
     pairs = met.mapInArrow(run, f"gene_a {kind}, gene_b {kind}, ord_a long, ord_b long, r double")
     if top is None:
@@ -242,6 +254,99 @@ def correlate(vectors: DataFrame, method: str, output: str, width: int, gene: st
     """Edges or the dense form by the texts of a configuration; at least two genes are needed."""
     arguments = parse_output(output)
     vectors = cut_lineage(vectors.select(gene, "ord", "values"))
-    if vectors.limit(2).count() < 2:
+    total = vectors.count()
+    if total < 2:
         raise ValueError("correlation needs at least two genes")
-    return _pairs(vectors, parse_method(method), width, gene=gene, **arguments)
+    return _pairs(vectors, parse_method(method), width, gene=gene, total=total, **arguments)
+
+
+def group_sums(vectors: DataFrame, members: DataFrame, method: str = "spearman") -> DataFrame:
+    """``node, total``: for each row the sum of its positive correlations with the other rows of its group.
+
+    ``vectors`` has ``ord, values``, ``members`` ``node, component``: the group of row ``node``. Only pairs
+    of one group are made, as products of blocks that leave nothing but a sum for each row. A group larger
+    than a block is spread by hash over several, which meet pairwise by an equi-join; smaller ones share
+    blocks, and a mask keeps them apart.
+    """
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    small = sizes.agg(F.coalesce(F.sum(F.when(F.col("n") <= GROUP_ROWS, F.col("n"))), F.lit(0))).first()[0]
+    shared = max(1, -(-small // GROUP_ROWS))
+    large = F.col("n") > GROUP_ROWS
+    placed = members.join(sizes, "component").select(
+        F.col("node").alias("ord"), "component",
+        F.when(large, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(shared))).alias("bundle"),
+        F.when(large, F.ceil(F.col("n") / GROUP_ROWS)).otherwise(1).cast("int").alias("parts"),
+    )
+    rows = placed.withColumn("part", F.pmod(F.xxhash64("ord", F.lit(1)), F.col("parts")).cast("int")).join(vectors.select("ord", "values"), "ord")
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        z = prepared(_stack(table["values"]), method)
+        one = {"ords": table["ord"], "groups": table["component"]}
+        return pa.table(
+            {"bundle": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([key[1].as_py()], pa.int32()), "parts": pa.array([table["parts"][0].as_py()], pa.int32()),
+             **{k: [v.to_pylist()] for k, v in one.items()}, "z": pa.array([np.ascontiguousarray(z).tobytes()], pa.binary())}
+        )
+
+    built = rows.groupBy("bundle", "part").applyInArrow(build, "bundle long, part int, parts int, ords array<long>, groups array<long>, z binary")
+    side = lambda partners, mine, theirs, name: built.select("bundle", F.col("part").alias(mine), F.explode(partners).alias(theirs), *[F.col(c).alias(f"{c}_{name}") for c in ("ords", "groups", "z")])
+    left = side(F.sequence(F.col("part"), F.col("parts") - 1), "bi", "bj", "a")
+    right = side(F.sequence(F.lit(0), F.col("part")), "bj", "bi", "b")
+    met = left.join(right, ["bundle", "bi", "bj"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                value = lambda c: batch.column(c)[k].values.to_numpy()  # noqa: E731, B023
+                oa, ob, ca, cb = value("ords_a"), value("ords_b"), value("groups_a"), value("groups_b")
+                za, zb = _rows_of(batch.column("z_a")[k].as_py(), len(oa), method), _rows_of(batch.column("z_b")[k].as_py(), len(ob), method)
+                same = batch.column("bi")[k].as_py() == batch.column("bj")[k].as_py()
+                back = np.zeros(len(ob))
+                for at in range(0, len(oa), TILE_ROWS):
+                    o, c = oa[at : at + TILE_ROWS], ca[at : at + TILE_ROWS]
+                    r = np.round(np.clip(_products(za[at : at + TILE_ROWS], zb, method), -1.0, 1.0), DECIMALS)
+                    r = np.where(np.isfinite(r) & (c[:, None] == cb[None, :]) & (o[:, None] != ob[None, :]), np.maximum(r, 0.0), 0.0)
+                    yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(r.sum(1))], names=["node", "part"])
+                    back += r.sum(0)
+                if not same:
+                    yield pa.RecordBatch.from_arrays([pa.array(ob), pa.array(back)], names=["node", "part"])
+
+    return met.mapInArrow(run, "node long, part double").groupBy("node").agg(F.sum("part").alias("total"))
+
+
+#: Rows of a block of ``group_sums``.
+GROUP_ROWS = 2048
+
+
+def cross(rows: DataFrame, columns: DataFrame, row: str, column: str, method: str = "spearman") -> DataFrame:
+    """``row, column, r``: every row of one table of ``values`` against every row of the other.
+
+    Both go to blocks by hash; each pair of blocks meets once by an equi-join and is one matrix product.
+    Correlations that are not finite are null.
+    """
+    n_rows, n_columns = rows.count(), columns.count()
+    a, b = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_columns // BLOCK_ROWS))
+    a = max(a, min(n_rows, rows.sparkSession.sparkContext.defaultParallelism) // b or 1)
+
+    def blocked(df: DataFrame, name: str, count: int, label: str) -> DataFrame:
+        def build(key: tuple, table: pa.Table) -> pa.Table:
+            z = prepared(_stack(table["values"]), method)
+            return pa.table({label: pa.array([key[0].as_py()], pa.int32()), f"{label}_ids": [table[name].to_pylist()], f"{label}_z": pa.array([np.ascontiguousarray(z).tobytes()], pa.binary())})
+
+        placed = df.select(F.pmod(F.xxhash64(name), F.lit(count)).cast("int").alias(label), name, "values")
+        return placed.groupBy(label).applyInArrow(build, f"{label} int, {label}_ids array<{df.schema[name].dataType.simpleString()}>, {label}_z binary")
+
+    met = blocked(rows, row, a, "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))).join(blocked(columns, column, b, "j").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(a - 1)))), ["i", "j"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = batch.column("i_ids")[k].values, batch.column("j_ids")[k].values
+                za, zb = _rows_of(batch.column("i_z")[k].as_py(), len(x), method), _rows_of(batch.column("j_z")[k].as_py(), len(y), method)
+                for at in range(0, len(x), TILE_ROWS):
+                    r = np.clip(_products(za[at : at + TILE_ROWS], zb, method), -1.0, 1.0)
+                    i, j = np.divmod(np.arange(r.size), len(y))
+                    flat = r.ravel()
+                    yield pa.RecordBatch.from_arrays([x.take(pa.array(i + at)), y.take(pa.array(j)), pa.array(flat, mask=~np.isfinite(flat))], names=[row, column, "r"])
+
+    kinds = f"`{row}` {rows.schema[row].dataType.simpleString()}, `{column}` {columns.schema[column].dataType.simpleString()}, r double"
+    return met.mapInArrow(run, kinds)

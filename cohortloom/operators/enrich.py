@@ -86,7 +86,7 @@ def permutation_test(ranked: DataFrame, sets: DataFrame, permutations: int = 100
                     if k not in nulls:
                         key = [seed, k, *str(data[module]).encode()]
                         rng = np.random.default_rng(key)
-                        draws = np.sort(np.argsort(rng.random((rounds, n)), axis=1)[:, :k], axis=1) if n <= 5000 else np.sort(np.stack([rng.choice(n, k, replace=False) for _ in range(rounds)]), axis=1)
+                        draws = np.sort(np.stack([rng.choice(n, k, replace=False) for _ in range(rounds)]), axis=1)
                         nulls[k] = _scores(w, draws, n)
                     null, es = nulls[k], float(_scores(w, places[None], n)[0])
                     half = null[null >= 0] if es >= 0 else -null[null < 0]

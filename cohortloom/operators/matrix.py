@@ -7,17 +7,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import cut_lineage
+
 #: Cells of a dense table that is written out wide; larger ones are refused.
 DENSE_COLUMNS = 5_000
 
 
+#: Rows that one task numbers; more are numbered where they lie after a range partitioning.
+ONE_TASK_ROWS = 1_000_000
+
+
+def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """``df`` with a number from 1 without gaps in an order without ties.
+
+    A table of more than ``ONE_TASK_ROWS`` rows is partitioned by ranges of the order and sorted within
+    them; each row's number is its place there and the sum of the partitions before. What reaches the
+    driver is one count per partition.
+    """
+    kept = cut_lineage(df)
+    if kept.count() <= ONE_TASK_ROWS:
+        return kept.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    ranged = cut_lineage(kept.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33).cast("int")
+    counts = dict(ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, total = [], 0
+    for i in range(max(counts) + 1):
+        before.append(total)
+        total += counts.get(i, 0)
+    offset = F.get(F.array(*[F.lit(n) for n in before]), part)
+    return ranged.withColumn(name, offset + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("__at")
+
+
 def with_order(long: DataFrame, gene: str = "gene_id") -> DataFrame:
     """``gene_id, ord``: a place for every gene, by its id, for stable ties."""
-    genes = long.select(gene).distinct()
-    return genes.select(gene, F.row_number().over(Window.orderBy(gene)).cast("long").alias("ord"))
+    return numbered(long.select(gene).distinct(), [gene], "ord")
 
 
 def sample_order(long: DataFrame, sample: str = "sample_id") -> list:
@@ -82,7 +108,7 @@ def select_genes(long: DataFrame, spec: str = "all", genes: DataFrame | None = N
         if int(arg) < 1:
             raise ValueError("topvar needs a positive number")
         top = gene_stats(long, gene).orderBy(F.col("variance").desc(), gene).limit(int(arg))
-        return top.select(gene, F.row_number().over(Window.orderBy(F.col("variance").desc(), gene)).cast("long").alias("place"))
+        return numbered(top.select(gene, "variance"), [F.col("variance").desc(), gene], "place").select(gene, "place")
     if kind in ("all", ""):
         chosen = everything
     elif kind == "mean_gt":
@@ -97,7 +123,7 @@ def select_genes(long: DataFrame, spec: str = "all", genes: DataFrame | None = N
         chosen = everything.where(F.col(gene).rlike(arg))
     else:
         raise ValueError(f"unknown gene set: {spec!r}")
-    return chosen.select(gene, F.row_number().over(Window.orderBy(gene)).cast("long").alias("place"))
+    return numbered(chosen.select(gene), [gene], "place")
 
 
 def subset(long: DataFrame, chosen: DataFrame, gene: str = "gene_id") -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.correlate import pairwise
-from cohortloom.operators.matrix import average_rank
+from cohortloom.operators.correlate import cross, group_sums, pairwise
 from cohortloom.session import cut_lineage
 
 #: Neighbours of a gene, unless there are fewer genes.
@@ -77,14 +76,10 @@ def ranked_modules(members: DataFrame, connectivity: DataFrame, top: int = 500)
     return kept.join(named, "component").select("module_id", "module_size", "gene", F.col("node").alias("ord"), "rank_in_module", "connectivity")
 
 
-def component_connectivity(vectors: DataFrame, members: DataFrame, width: int, gene: str = "gene_id") -> DataFrame:
-    """``node, connectivity``: the sum of max(r, 0) over the other genes of the same component."""
-    pairs = pairwise(vectors, "spearman", width, positive=True, gene=gene).select("ord_a", "ord_b", "r")
-    both = pairs.unionByName(pairs.select(F.col("ord_b").alias("ord_a"), F.col("ord_a").alias("ord_b"), "r"))
-    side = lambda n, c: members.select(F.col("node").alias(n), F.col("component").alias(c))
-    inside = both.join(side("ord_a", "ca"), "ord_a").join(side("ord_b", "cb"), "ord_b").where("ca = cb")
-    sums = inside.groupBy(F.col("ord_a").alias("node")).agg(F.sum("r").alias("connectivity"))
-    return members.select("node").join(sums, "node", "left").select("node", F.coalesce("connectivity", F.lit(0.0)).alias("connectivity"))
+def component_connectivity(vectors: DataFrame, members: DataFrame) -> DataFrame:
+    """``node, connectivity``: the sum of max(r, 0) over the other genes of the same component; only these pairs are made."""
+    sums = group_sums(vectors, members.select("node", "component"))
+    return members.select("node").join(sums, "node", "left").select("node", F.coalesce("total", F.lit(0.0)).alias("connectivity"))
 
 
 def eigengenes(ranked: DataFrame, long: DataFrame, gene: str = "gene_id", sample: str = "sample_id") -> DataFrame:
@@ -93,21 +88,14 @@ def eigengenes(ranked: DataFrame, long: DataFrame, gene: str = "gene_id", sample
     return long.join(members, gene).groupBy("module_id", sample).agg(F.avg("value").alias("value"))
 
 
-def module_tstats(long: DataFrame, profiles: DataFrame, gene: str = "gene_id", sample: str = "sample_id") -> DataFrame:
+def module_tstats(vectors: DataFrame, profiles: DataFrame, width: int, gene: str = "gene_id") -> DataFrame:
     """``module_id, gene_id, r, t`` of every gene against every module: Spearman's r and its t-statistic.
 
-    r is 0 without variance; t = r sqrt((n - 2) / (1 - r^2)) with r kept from +-1, and 0 for n <= 2.
+    ``vectors`` has ``gene_id, values``, ``profiles`` ``module_id, values``, over the same ``width``
+    samples. r is 0 without variance; t = r sqrt((n - 2) / (1 - r^2)) with r kept from +-1, and 0 for n <= 2.
     """
-    mean_part = lambda df, keys, name: average_rank(df, keys, "value", name).drop("value")
-    x, y = mean_part(long.select(gene, sample, "value"), [gene], "x"), mean_part(profiles, ["module_id"], "y")
-    sums = x.join(y, sample).groupBy("module_id", gene).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("y")).alias("sxy"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-    )
-    n = F.col("n")
-    cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
-    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
-    with_r = sums.withColumn("r", F.when((vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx * vy))).otherwise(0.0))
-    safe = F.greatest(F.lit(-0.9999999), F.least(F.lit(0.9999999), F.col("r")))
-    t = F.when(n <= 2, F.lit(0.0)).otherwise(safe * F.sqrt((n - 2) / (1 - safe * safe)))
-    return with_r.select("module_id", gene, "r", t.alias("t"))
+    met = cross(vectors.select(gene, "values"), profiles.select("module_id", "values"), gene, "module_id")
+    r = F.coalesce("r", F.lit(0.0))
+    safe = F.greatest(F.lit(-0.9999999), F.least(F.lit(0.9999999), r))
+    t = safe * F.sqrt(F.lit(float(width - 2)) / (1 - safe * safe)) if width > 2 else F.lit(0.0)
+    return met.select("module_id", gene, r.alias("r"), t.alias("t"))

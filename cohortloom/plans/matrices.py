@@ -43,7 +43,7 @@ def _samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _count_vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list]:
-    long = _counts(spark, sf)
+    long = cut_lineage(_counts(spark, sf))  # read for the samples and for the vectors
     samples = matrix.sample_order(long)
     return matrix.to_vectors(long, samples, missing=0.0), samples
 
@@ -223,7 +223,7 @@ def corr_hellcor(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _adjusted_edges(spark: SparkSession, sf: str) -> DataFrame:
-    long = _counts(spark, sf)
+    long = cut_lineage(_counts(spark, sf))
     samples = matrix.sample_order(long)
     chosen = matrix.select_genes(long, "topvar:20")
     vectors = matrix.to_vectors(matrix.subset(long, chosen), samples, missing=0.0)
@@ -296,7 +296,7 @@ def module_components(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     members = cut_lineage(modules.modules(_mutual(spark, sf), min_size=2))
-    connected = modules.component_connectivity(_embedding_vectors(spark, sf), members, VECTOR_SIZE)
+    connected = modules.component_connectivity(_embedding_vectors(spark, sf), members)
     return modules.ranked_modules(members, connected, top=20)
 
 
@@ -316,7 +316,7 @@ def module_members_usual(spark: SparkSession, sf: str) -> DataFrame:
     vectors = cut_lineage(_embedding_vectors(spark, sf))
     edges = cut_lineage(modules.mutual_edges(vectors, VECTOR_SIZE, modules.neighbour_count(vectors.count())))
     members = cut_lineage(modules.modules(edges))
-    return modules.ranked_modules(members, modules.component_connectivity(vectors, members, VECTOR_SIZE)).withColumn("connectivity", F.round("connectivity", 5))
+    return modules.ranked_modules(members, modules.component_connectivity(vectors, members)).withColumn("connectivity", F.round("connectivity", 5))
 
 
 @query(
@@ -328,7 +328,8 @@ SELECT module_id, gene_id, round(r, 6) + 0.0 AS r, round(r * sqrt(62 / (1 - r *
 def module_tstats(spark: SparkSession, sf: str) -> DataFrame:
     long = _embedding_long(spark, sf)
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("gene"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("module_id"))
-    stats = modules.module_tstats(long, modules.eigengenes(labels, long))
+    profiles = matrix.to_vectors(modules.eigengenes(labels, long), list(range(VECTOR_SIZE)), "module_id")
+    stats = modules.module_tstats(_embedding_vectors(spark, sf), profiles, VECTOR_SIZE)
     return stats.select("module_id", "gene_id", (F.round("r", 6) + 0.0).alias("r"), (F.round("t", 5) + 0.0).alias("t"))
 
 

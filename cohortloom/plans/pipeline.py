@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cohortloom.operators import annotate, design, enrich, matrix, modules
 from cohortloom.operators.correlate import correlate
@@ -52,10 +51,12 @@ def run_correlation(
     chosen = matrix.select_genes(long, config.geneset, genes)
     if gene_sets is not None and len(samples) < 3:
         raise ValueError("modules need at least three samples")
+    if gene_sets is not None and not gene_sets.limit(1).count():
+        raise ValueError("modules need at least one pathway")
     vectors = matrix.to_vectors(matrix.subset(long, chosen), samples, sample=sample)
     adjusted = design.adjust(vectors, sheet, samples, config.formula, sample, config.adjust)
     placed = cut_lineage(adjusted.join(chosen.select("gene_id", "place"), "gene_id"))
-    order = placed.select("gene_id", F.row_number().over(Window.orderBy("place")).cast("long").alias("ord"))
+    order = matrix.numbered(placed.select("gene_id", "place"), ["place"], "ord").drop("place")
     ordered = placed.drop("place").join(order, "gene_id")
     method = "spearman" if gene_sets is not None else config.method
     edges = correlate(ordered, method, config.output, len(samples))
@@ -68,8 +69,8 @@ def run_correlation(
     members = cut_lineage(modules.modules(mutual, config.module_min_size))
     if members.limit(1).count() == 0:
         raise ValueError("no module is large enough")
-    ranked = cut_lineage(modules.ranked_modules(members, modules.component_connectivity(ordered, members, len(samples)), config.module_top))
-    cells = matrix.to_long(ordered, samples)
-    stats = cut_lineage(modules.module_tstats(cells, modules.eigengenes(ranked, cells)))
+    ranked = cut_lineage(modules.ranked_modules(members, modules.component_connectivity(ordered, members), config.module_top))
+    profiles = modules.eigengenes(ranked, matrix.to_long(ordered, samples))
+    stats = cut_lineage(modules.module_tstats(ordered, matrix.to_vectors(profiles, samples, "module_id"), len(samples)))
     tested = enrich.permutation_test(stats, gene_sets, config.permutations, config.seed)
     return CorrelationResult(edges, ranked, stats, tested)

@@ -105,6 +105,45 @@ def test_components(spark):
     assert {got[i] for i in range(1, 41)} == {1} and got[101] == 100 and got[302] == 300 and 200 not in got
 
 
+def test_numbers_by_ranges(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 7919 % 1009).alias("k")).repartition(5)
+    want = {k: n for n, k in enumerate(sorted(r.k for r in df.collect()), 1)}
+    for limit in (10_000, 50):
+        monkeypatch.setattr(matrix, "ONE_TASK_ROWS", limit)
+        assert {r.k: r.n for r in matrix.numbered(df, ["k"], "n").collect()} == want
+        assert {r.k: r.n for r in matrix.numbered(df, [F.col("k").desc()], "n").collect()} == {k: 501 - n for k, n in want.items()}
+        assert matrix.numbered(df.limit(0), ["k"], "n").count() == 0
+
+
+@pytest.mark.parametrize("rows", [4, 9, 1000])
+def test_sums_within_groups(spark, monkeypatch, rows):
+    monkeypatch.setattr(C, "GROUP_ROWS", rows)
+    monkeypatch.setattr(C, "TILE_ROWS", 3)
+    x = np.random.default_rng(2).normal(size=(40, 12))
+    x[7] = 1.0
+    group = [1 if i < 23 else 100 + i // 3 for i in range(40)]
+    vectors_ = spark.createDataFrame([(i, x[i].tolist()) for i in range(40)], "ord long, values array<double>")
+    members = spark.createDataFrame([(i, g, "z") for i, g in enumerate(group) if i != 39], "node long, component long, gene string")
+    z = np.nan_to_num(C.spearman_vectors(x))
+    r = np.maximum(np.round(z @ z.T, C.DECIMALS), 0)
+    want = {i: sum(r[i, j] for j in range(39) if j != i and group[j] == group[i]) for i in range(39)}
+    got = {m.node: m.connectivity for m in modules.component_connectivity(vectors_, members).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_rows_against_columns(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_ROWS", 6)
+    monkeypatch.setattr(C, "TILE_ROWS", 2)
+    x, y = np.random.default_rng(3).normal(size=(20, 9)), np.random.default_rng(4).normal(size=(7, 9))
+    y[2] = 5.0
+    make = lambda a, n: spark.createDataFrame([(f"{n}{i}", a[i].tolist()) for i in range(len(a))], f"{n} string, values array<double>")
+    got = {(r.g, r.m): r.r for r in C.cross(make(x, "g"), make(y, "m"), "g", "m").collect()}
+    want = C.spearman_vectors(x) @ C.spearman_vectors(y).T
+    assert len(got) == 140 and all(got[f"g{i}", "m2"] is None for i in range(20))
+    assert all(got[f"g{i}", f"m{j}"] == pytest.approx(want[i, j]) for i in range(20) for j in range(7) if j != 2)
+    assert C.cross(make(x, "g").limit(0), make(y, "m"), "g", "m").count() == 0
+
+
 def test_enrichment(spark):
     import random
 
