@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,15 @@ from pyspark.sql import functions as F
 from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
 from cohortloom.session import cut_lineage
 
-#: Orderings, projected dimensions and bits of each; rows of a window, which is compared with itself and the next.
-CURVES, DIMS, BITS, WINDOW = 16, 10, 6, 256
+#: Orderings up to ``CURVES_FOR`` vectors, and one more for each doubling beyond, since neighbours lie closer then
+#: and each ordering misses more; projected dimensions and bits of each; rows of a window, which is compared with
+#: itself and the ones next to it.
+CURVES, CURVES_FOR, DIMS, BITS, WINDOW = 12, 1 << 17, 15, 4, 256
+#: Rows of a task's part of an ordering, parts of an ordering at most, and rows of the sample, for each part, by
+#: which an ordering is cut into parts.
+PART_ROWS, MOST_PARTS, SAMPLED = 1 << 16, 1 << 13, 64
+#: Rows that are placed on the curves at a time.
+PLACED_ROWS = 1 << 15
 #: How far a similarity may be off by the four-byte floats in which the vectors travel (twice half a unit of
 #: the last place), and how much more by a product in them. What a window passes on is reranked exactly.
 ERROR, SLACK = 1.3e-7, 1e-5
@@ -69,23 +77,6 @@ def usable(vector: str, size: int) -> Column:
     return v.isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != F.get(v, F.lit(0)))
 
 
-def _blocks(parts: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut or joined into ones of ``rows`` rows; the last may be shorter."""
-    held: list[pa.RecordBatch] = []
-    count = 0
-    for batch in parts:
-        held.append(batch)
-        count += batch.num_rows
-        if count >= rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            cut = table.num_rows - table.num_rows % rows
-            yield from table.slice(0, cut).to_batches(max_chunksize=rows)
-            rest = table.slice(cut)
-            held, count = rest.to_batches(), rest.num_rows
-    if count:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
 def _as_matrix(column: pa.Array, kind: type) -> np.ndarray:
     """The rows of a column of equally long binaries as a matrix."""
     data = b"".join(column.to_pylist())
@@ -122,88 +113,218 @@ def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: floa
     return a, order[b]
 
 
-class _Head:
-    """The first rows, hence those with the smallest keys, of the cell at the end of the blocks seen so far."""
-
-    def __init__(self, rows: int) -> None:
-        self.rows, self.cell, self.begin, self.keys, self.z = rows, None, 0, np.empty(0, np.int64), np.empty((0, 0))
+def curve_count(vectors: int) -> int:
+    """Orderings for so many vectors."""
+    return CURVES + max(0, math.ceil(math.log2(max(1, vectors) / CURVES_FOR)))
 
-    def see(self, cells: np.ndarray, keys: np.ndarray, z: np.ndarray, start: int) -> None:
-        """Take in the block whose first row is row ``start`` of the task."""
-        first = int(np.argmax((cells == cells[-1]).all(1)))
-        if first == 0 and self.cell is not None and (self.cell == cells[-1]).all():
-            need = self.rows - len(self.keys)
-            if need > 0:
-                self.keys, self.z = np.concatenate([self.keys, keys[:need]]), np.concatenate([self.z, z[:need]])
-        else:
-            self.cell, self.begin, self.keys, self.z = cells[-1], start + first, keys[first : first + self.rows], z[first : first + self.rows]
 
-    def before(self, cell: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """Those of the rows before row ``start``, if ``cell`` is theirs."""
-        if self.cell is None or self.begin >= start or (self.cell != cell).any():
-            return None
-        return self.keys[: start - self.begin], self.z[: start - self.begin]
+_FIRST = np.iinfo(np.int64).min
 
 
-def curve_candidates(reps: DataFrame, size: int, k: int, least: float | None, curves: int = CURVES, dims: int = DIMS, bits: int = BITS, window: int = WINDOW, seed: int = 11) -> DataFrame:
-    """Candidate pairs ``a < b`` of ``key, z`` rows (``z``: unit vectors as binary doubles).
+def cut_points(spots: np.ndarray, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where parts of an ordering begin, by a sample of it: ``spot, key`` of the first row of all parts but the first.
 
-    For each curve the vectors are projected and ordered by their Hilbert key, range-partitioned in
-    Spark by (curve, key) and sorted; each window of the order is compared with itself, the one before
-    and the next as matrices. Rows of a cell are ordered by key on every curve, so a cell of more than
-    a few windows, as many close copies make it, would always show a row the same others; its rows are
-    compared with the cell's first window too, whose keys win all ties.
+    A part begins with a cell, so that the rows of a cell stay together; only a cell with more rows than
+    a part is cut, by its keys.
+    """
+    order = np.lexsort((keys, spots))
+    spots, keys = spots[order], keys[order]
+    share = len(spots) / parts
+    out = []
+    for i in range(1, parts):
+        at = min(len(spots) - 1, int(i * share))
+        cell = spots[at]
+        size = np.searchsorted(spots, cell, "right") - np.searchsorted(spots, cell, "left")
+        out.append((cell, keys[at] if size > share else _FIRST))
+    cuts = np.array(sorted(set(out)), np.int64).reshape(-1, 2)
+    return cuts[:, 0].copy(), cuts[:, 1].copy()
+
+
+def _part_of(spots: np.ndarray, keys: np.ndarray, cuts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The part of each row."""
+    at_spot, at_key = cuts
+    part = np.searchsorted(at_spot, spots, "left")
+    on = np.flatnonzero(at_spot[np.minimum(part, len(at_spot) - 1)] == spots) if len(at_spot) else np.empty(0, np.int64)
+    base = part[on]
+    for first in np.unique(base):
+        last = np.searchsorted(at_spot, at_spot[first], "right")
+        rows = on[base == first]
+        part[rows] = first + np.searchsorted(at_key[first:last], keys[rows], "right")
+    return part
+
+
+def part_pairs(spots: np.ndarray, keys: np.ndarray, z: np.ndarray, head: tuple[int, np.ndarray, np.ndarray] | None, k: int, least: float | None, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of keys from the windows of one part of an ordering.
+
+    The rows are ordered by cell and key. ``head`` has the first rows of a cell that began in an earlier
+    part: its spot, keys and vectors.
     """
-    spark = reps.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), curves)
-    maps = orderings(size, curves, min(dims, size), seed)
+    order = np.lexsort((keys, spots))
+    spots, keys, z = spots[order], keys[order], z[order]
+    low, high = [], []
+    for start in range(0, len(keys), window):
+        end, before, after = min(start + window, len(keys)), max(0, start - window), min(start + 2 * window, len(keys))
+        near = [(keys[start:end], z[start:end]), (keys[before:start], z[before:start]), (keys[end:after], z[end:after])]
+        cell = spots[start]
+        first = int(np.searchsorted(spots, cell, "left"))
+        if first == 0 and head is not None and head[0] == cell:
+            near.append(head[1:])
+        elif first < before:
+            near.append((keys[first : min(first + window, before)], z[first : min(first + window, before)]))
+        names, rows = (np.concatenate(x) for x in zip(*near, strict=True))
+        a, b = _window_pairs(names, rows, end - start, k, least)
+        low.append(np.minimum(names[a], names[b]))
+        high.append(np.maximum(names[a], names[b]))
+    a, b = np.concatenate(low), np.concatenate(high)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    once = np.ones(len(a), bool)
+    once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    once &= a != b
+    return a[once], b[once]
+
+
+def curve_candidates(
+    reps: DataFrame, size: int, k: int, least: float | None, count: int, curves: int | None = None, dims: int = DIMS, bits: int = BITS, window: int = WINDOW, part_rows: int | None = None, seed: int = 11
+) -> DataFrame:
+    """Candidate pairs ``a < b`` of ``count`` rows ``key, z`` (``z``: unit vectors as binary doubles).
+
+    For each curve the vectors are projected and ordered by their Hilbert key. The orderings are cut into
+    ranges by a sample of ``SAMPLED`` rows a part; rows go to their parts in blocks, one shuffle for all
+    curves, so that Spark moves few large rows, and each part is sorted and its windows compared with
+    themselves and both neighbours as matrices. Rows of a cell are ordered by key on every curve, so a
+    cell of more than a few windows, as many close copies make it, would always show a row the same
+    others; its rows are compared with the cell's first window too, whose keys win all ties. A cell with
+    more rows than a part is cut by its keys, and its first window goes to all of its parts.
+
+    Windows do not reach over the border of two parts, where an ordering loses the links of at most
+    ``window`` rows on either side, which the other orderings have with other borders.
+    """
+    part_rows = part_rows or max(PART_ROWS, -(-count // MOST_PARTS))
+    parts = max(1, -(-count // part_rows))
+    maps = orderings(size, curves or curve_count(count), min(dims, size), seed)
+    cells_of = lambda z, c: np.clip(
+        ((z @ maps[c][0]) * np.float32(np.sqrt(size)) / np.float32(2 * REACH) + np.float32(0.25) + maps[c][1] / 2) * (1 << bits), 0, (1 << bits) - 1
+    ).astype(np.int64)
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held, n = [], 0
+        for batch in batches:
+            for piece in pa.Table.from_batches([batch]).to_batches(max_chunksize=PLACED_ROWS):
+                held.append(piece)
+                n += piece.num_rows
+                if n >= PLACED_ROWS:
+                    yield _keyed(held)
+                    held, n = [], 0
+        if n:
+            yield _keyed(held)
+
+    def spots_of_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, z in gathered(batches):
+            for c in range(len(maps)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), c, np.int32)), pa.array(hilbert_keys(cells_of(z, c), bits)), pa.array(keys)], names=["curve", "spot", "key"])
+
+    def cut(key: tuple, table: pa.Table) -> pa.Table:
+        spots, keys = cut_points(table["spot"].to_numpy(), table["key"].to_numpy(), parts)
+        return pa.table({"curve": pa.array([key[0].as_py()], pa.int32()), "spots": [spots.tolist()], "keys": [keys.tolist()]})
+
+    none = np.empty(0, np.int64)
+    cuts = {c: (none, none) for c in range(len(maps))}
+    if parts > 1:
+        some = reps.select("key", "z").sample(min(1.0, SAMPLED * parts / max(1, count)), seed=seed)
+        rows = some.mapInArrow(spots_of_sample, "curve int, spot long, key long").groupBy("curve").applyInArrow(cut, "curve int, spots array<long>, keys array<long>")
+        cuts |= {r["curve"]: (np.array(r["spots"], np.int64), np.array(r["keys"], np.int64)) for r in rows.collect()}
+    first_part = np.cumsum([0, *(len(cuts[c][0]) + 1 for c in range(len(maps)))])
+    # Parts that begin inside a cell, with its curve and spot.
+    inside = [(c, int(s), int(first_part[c]) + i + 1) for c in range(len(maps)) for i, (s, key) in enumerate(zip(*cuts[c], strict=True)) if key != _FIRST]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in pa.Table.from_batches([whole]).to_batches(max_chunksize=8192):
-                if not batch.num_rows:
-                    continue
-                z = _as_matrix(batch.column("z"), np.float64).astype(np.float32)
-                short = pa.array([row.tobytes() for row in z], pa.binary())
-                for c, (basis, shift) in enumerate(maps):
-                    spot = (z @ basis) * np.float32(np.sqrt(size)) / np.float32(2 * REACH) + np.float32(0.25) + shift / 2
-                    cells = np.clip(spot * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(z), c, np.int32)), pa.array(hilbert_keys(cells, bits)), batch.column("key"), short], names=["curve", "spot", "key", "z"]
-                    )
+        for keys, z in gathered(batches):
+            for c in range(len(maps)):
+                spots = hilbert_keys(cells_of(z, c), bits)
+                part = _part_of(spots, keys, cuts[c])
+                order = np.argsort(part, kind="stable")
+                names, starts = np.unique(part[order], return_index=True)
+                blocks = np.split(order, starts[1:])
+                yield _blocks_of(first_part[c] + names, [spots[b] for b in blocks], [keys[b] for b in blocks], [z[b] for b in blocks], False)
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows with the smallest keys of each cell that is cut, of one task."""
+        wanted: dict[int, list[int]] = {}
+        for c, s, _ in inside:
+            wanted.setdefault(c, []).append(s)
+        kept: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for keys, z in gathered(batches):
+            for c, cells in wanted.items():
+                spots = hilbert_keys(cells_of(z, c), bits)
+                for s in set(cells):
+                    at = spots == s
+                    old = kept.get((c, s), (none, np.empty((0, size), np.float32)))
+                    k_, z_ = np.concatenate([old[0], keys[at]]), np.concatenate([old[1], z[at]])
+                    best = np.argsort(k_)[:window]
+                    kept[c, s] = k_[best], z_[best]
+        for (c, s), (k_, z_) in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k_), c, np.int32)), pa.array(np.full(len(k_), s)), pa.array(k_), pa.array([r.tobytes() for r in z_], pa.binary())], names=["curve", "spot", "key", "z"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                spots, keys, z = batch.column("spot").to_numpy(), batch.column("key").to_numpy(), _as_matrix(batch.column("z"), np.float32)
+                one = range(len(keys))
+                yield _blocks_of(batch.column("part").to_numpy(), [spots[i : i + 1] for i in one], [keys[i : i + 1] for i in one], [z[i : i + 1] for i in one], True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = _Head(window)
-        prev = own = None
-        start = 0  # of prev
-
-        def pairs(nxt: tuple[np.ndarray, ...] | None) -> pa.RecordBatch:
-            parts = [own[1:], prev and prev[1:], nxt and nxt[1:], head.before(own[0][0], start)]
-            keys, z = (np.concatenate(x) for x in zip(*(p for p in parts if p), strict=True))
-            a, b = _window_pairs(keys, z, len(own[1]), k, least)
-            lo, hi = np.minimum(keys[a], keys[b]), np.maximum(keys[a], keys[b])
-            return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["a", "b"])
-
-        for block in chain(_blocks(batches, window), [None]):
-            here = None
-            if block is not None:
-                cells = np.column_stack([block.column("curve").to_numpy().astype(np.int64), block.column("spot").to_numpy()])
-                here = (cells, block.column("key").to_numpy(), _as_matrix(block.column("z"), np.float32))
-            if own is not None:
-                yield pairs(here)
-                behind = len(prev[1]) if prev is not None else 0
-                head.see(*own, start + behind)
-                start += behind
-            prev, own = own, here
-
-    placed = reps.select("key", "z").mapInArrow(place, "curve int, spot long, key long, z binary")
-    ordered = placed.repartitionByRange(parts, "curve", "spot").sortWithinPartitions("curve", "spot", "key")
-    return ordered.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
+        part, held = None, []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            join = lambda own, i: np.concatenate([b[i] for b in own])
+            own, firsts = [b for b in held if not b[3]], [b for b in held if b[3]]
+            if not own:
+                return
+            head = None
+            if firsts:
+                order = np.argsort(join(firsts, 1))
+                head = int(firsts[0][0][0]), join(firsts, 1)[order], join(firsts, 2)[order]
+            a, b = part_pairs(join(own, 0), join(own, 1), join(own, 2), head, k, least, window)
+            for at in range(0, len(a), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]), pa.array(b[at : at + (1 << 16)])], names=["a", "b"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch.column("part")[i].as_py() != part:
+                    yield from finish()
+                    part, held = batch.column("part")[i].as_py(), []
+                ints = [np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("spots", "keys")]
+                held.append((*ints, np.frombuffer(batch.column("z")[i].as_buffer(), np.float32).reshape(len(ints[0]), -1), batch.column("head")[i].as_py()))
+        yield from finish()
+
+    schema = "part long, spots binary, keys binary, z binary, head boolean"
+    moved = reps.select("key", "z").mapInArrow(place, schema)
+    if inside:
+        smallest = Window.partitionBy("curve", "spot").orderBy("key")
+        heads = reps.select("key", "z").mapInArrow(first_rows, "curve int, spot long, key long, z binary").withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= window)
+        targets = reps.sparkSession.createDataFrame(inside, "curve int, spot long, part long")  # no more than there are parts
+        moved = moved.unionByName(heads.join(F.broadcast(targets), ["curve", "spot"]).select("part", "spot", "key", "z").mapInArrow(packed, schema))
+    together = moved.repartitionById(int(first_part[-1]), F.col("part").cast("int")).sortWithinPartitions("part")
+    return together.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _keyed(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and vectors of ``key, z`` rows, in four-byte floats."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    return table["key"].to_numpy(), _as_matrix(table["z"].combine_chunks(), np.float64).astype(np.float32)
+
+
+def _blocks_of(parts: np.ndarray, spots: list[np.ndarray], keys: list[np.ndarray], z: list[np.ndarray], head: bool) -> pa.RecordBatch:
+    pack = lambda values: pa.array([np.ascontiguousarray(v).tobytes() for v in values], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pack(spots), pack(keys), pack(z), pa.array([head] * len(spots))], names=["part", "spots", "keys", "z", "head"])
 
 
 def _unit(vectors: DataFrame) -> DataFrame:
-    """Rows ``key, vec, ...`` with ``z``, the centred vector of length one, as binary doubles."""
-    names = [c for c in vectors.columns if c != "vec"]
+    """Rows ``key, vec`` as ``key, print, z``: the centred vector of length one as binary doubles, and its digest to twelve places.
+
+    Rows that differ in scale and level alone have one print, but where rounding parts them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,10 +335,10 @@ def _unit(vectors: DataFrame) -> DataFrame:
             z = x - x.mean(1, keepdims=True)
             norm = np.sqrt((z * z).sum(1, keepdims=True))
             z /= np.where(norm > 0, norm, 1.0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([r.tobytes() for r in z], pa.binary())], names=[*names, "z"])
+            prints = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in np.round(z, 12) + 0.0]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in z], pa.binary())], names=["key", "print", "z"])
 
-    kinds = ", ".join(f"`{c}` {vectors.schema[c].dataType.simpleString()}" for c in names)
-    return vectors.mapInArrow(run, f"{kinds}, z binary")
+    return vectors.select("key", "vec").mapInArrow(run, "key long, print binary, z binary")
 
 
 def _similarity(pairs: DataFrame) -> DataFrame:
@@ -232,28 +353,29 @@ def _similarity(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long, sim double")
 
 
-def nearest(df: DataFrame, key: str, vector: str, size: int, k: int = 5, least: float | None = None, curves: int = CURVES, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def nearest(df: DataFrame, key: str, vector: str, size: int, k: int = 5, least: float | None = None, curves: int | None = None, shard_rows: int = SHARD_ROWS, part_rows: int | None = None) -> DataFrame:
     """``key, other, sim, rank_no``: for every row the ``k`` rows that correlate best with it.
 
     ``sim`` is the Pearson correlation to six places; equal ones are ranked by the smaller key. With
     ``least``, pairs below it are left out. Rows whose vector is null, has another length, a value that
     is null, NaN or infinite, or only equal values, take no part.
 
-    Rows with the same values are one vector, with their ``k + 1`` smallest keys, which are all that can
-    be among anybody's nearest; so copies never fill the windows, and a vector that a third of the rows
-    share costs no more than another. ``curve_candidates`` finds pairs of vectors, these are reranked
-    with the exact correlation and then expanded to rows, the copies' rows over shards.
+    Rows with the same profile, whatever its scale and level, are one vector, with their ``k + 1`` smallest
+    keys, which are all that can be among anybody's nearest; so copies never fill the windows, and a
+    vector that a third of the rows share costs no more than another. ``curve_candidates`` finds pairs of
+    vectors, these are reranked with the exact correlation and then expanded to rows, the copies' rows
+    over shards.
 
     Each curve may miss a near vector; all miss it rarely, and more curves miss less (see README).
     """
     valid = df.where(usable(vector, size)).select(F.col(key).cast("long").alias("key"), F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
-    valid = valid.withColumn("print", F.struct(F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2")))
+    valid = cut_lineage(_unit(valid))
     by_print = Window.partitionBy("print").orderBy("key")
     smallest = valid.withColumn("n", F.row_number().over(by_print)).where(F.col("n") <= k + 1)
-    groups = smallest.groupBy("print").agg(F.min("key").alias("rep"), F.array_sort(F.collect_list("key")).alias("copies"))
-    reps = cut_lineage(_unit(smallest.where("n = 1").select("key", "vec")))
-    groups = cut_lineage(groups)
-    pairs = curve_candidates(reps, size, k, least, curves)
+    groups = cut_lineage(smallest.groupBy("print").agg(F.min("key").alias("rep"), F.array_sort(F.collect_list("key")).alias("copies"), F.min_by("z", "key").alias("z")))
+    reps = groups.select(F.col("rep").alias("key"), "z")
+    groups = groups.drop("z")
+    pairs = curve_candidates(reps, size, k, least, reps.count(), curves, part_rows=part_rows)
     left = reps.select(F.col("key").alias("a"), F.col("z").alias("za"))
     right = reps.select(F.col("key").alias("b"), F.col("z").alias("zb"))
     sims = _similarity(pairs.join(left, "a").join(right, "b"))

@@ -115,3 +115,45 @@ def test_windows_cut_nothing_that_rounding_leaves_undecided():
     low, high = np.array([[0.95, 0.91, 0.91, 0.90, 0.90]]), np.array([[0.95, 0.92, 0.91, 0.91, 0.90]])
     assert V._first(low, high, 2).tolist() == [[True, True, False, False, False]]
     assert V._first(low[:, ::-1], high[:, ::-1], 2).tolist() == [[False, True, True, True, True]]
+
+
+def test_parts_begin_with_cells_and_cut_only_large_ones():
+    rng = np.random.default_rng(1)
+    spots, keys = np.concatenate([rng.integers(0, 1000, 4000), np.full(4000, 500)]), rng.permutation(8000).astype(np.int64)
+    at_spot, at_key = V.cut_points(spots, keys, 8)
+    inside = at_key != V._FIRST
+    assert inside.sum() >= 3 and set(at_spot[inside]) == {500}
+    part = V._part_of(spots, keys, (at_spot, at_key))
+    want = [sum((s, k) <= (a, b) for s, k in zip(at_spot, at_key, strict=True)) for a, b in zip(spots, keys, strict=True)]
+    assert part.tolist() == want and np.bincount(part).max() < 2500
+    assert all(len(set(part[spots == s])) == 1 for s in set(spots) - {500})
+    assert V._part_of(spots, keys, (np.empty(0, np.int64), np.empty(0, np.int64))).max() == 0
+
+
+def test_a_cell_of_near_copies_over_many_tasks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 48))
+    x[500:] = x[0] + rng.normal(scale=1e-5, size=(5500, 48))
+    keys = rng.permutation(20_000)[:6000]
+    df = spark.createDataFrame([(int(k), v.tolist(), "a", "b") for k, v in zip(keys, x, strict=True)], SCHEMA)
+    cuts = V.cut_points(np.full(6000, 7), keys.astype(np.int64), 12)
+    assert len(cuts[0]) == 11  # the copies of one cell are cut into all parts
+    got = {}
+    for r in V.nearest(df, "row_key", "row_values", 48, 5, 0.9, part_rows=500).collect():
+        got.setdefault(r.key, []).append((r.rank_no, r.other))
+    near = sorted([int(keys[0]), *map(int, keys[500:])])[:6]
+    copies = {int(keys[0]), *map(int, keys[500:])}
+    right = sum([o for _, o in sorted(got[c])] == [n for n in near if n != c][:5] for c in copies)
+    assert right >= 0.99 * len(copies)
+
+
+def test_small_parts_find_the_same(spark):
+    keys, x = data(900, 3)
+    df = spark.createDataFrame([(k, v.tolist(), "a", "b") for k, v in zip(keys, x, strict=True)], SCHEMA)
+    find = lambda **kw: {tuple(r) for r in V.neighbour_pairs(V.nearest(df, "row_key", "row_values", 48, 5, 0.9, **kw)).collect()}
+    one, many = find(), find(part_rows=150)
+    assert len(one & many) >= 0.99 * len(one | many)
+
+
+def test_orderings_grow_with_the_input():
+    assert V.curve_count(0) == V.curve_count(1 << 17) == V.CURVES and V.curve_count((1 << 17) + 1) == V.CURVES + 1 and V.curve_count(1 << 30) == V.CURVES + 13
