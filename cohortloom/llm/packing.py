@@ -111,3 +111,16 @@ def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     full = packed.where(F.col("container_id").isNotNull()).groupBy("container_id").agg(F.sum("n_tokens").alias("filled"), F.count(F.lit(1)).alias("n_pieces"))
     tenth = F.floor(F.col("filled") * 10 / F.lit(capacity)).cast("int")
     return full.groupBy(tenth.alias("tenths_full")).agg(F.count(F.lit(1)).alias("n_containers"), F.sum("n_pieces").alias("n_pieces"), F.sum("filled").alias("n_tokens"))
+
+
+def placement_report(packed: DataFrame, key: str, capacity: int = CAPACITY) -> DataFrame:
+    """``key, placed, whole, fits`` of every item: whether it is in a container, cut only if it is larger than one, and in containers that are not too full.
+
+    A container is not too full if its pieces end where their sizes add up to, within the capacity. Items
+    without a container fit. Keys are to be unique; repeated ones count as one item cut in pieces.
+    """
+    inside = F.col("container_id").isNotNull()
+    filled = packed.where(inside).groupBy("container_id").agg(F.sum("n_tokens").alias("__sum"), F.max(F.col("start_at") + F.col("n_tokens")).alias("__end"))
+    good = filled.select("container_id", ((F.col("__sum") == F.col("__end")) & (F.col("__sum") <= capacity)).alias("__good"))
+    whole = (F.count(F.lit(1)) == F.max("piece_no")) & ((F.max("piece_no") == 1) | (F.sum("n_tokens") > capacity))
+    return packed.join(good, "container_id", "left").groupBy(key).agg(F.bool_or(inside).alias("placed"), whole.alias("whole"), F.bool_and(F.coalesce("__good", ~inside)).alias("fits"))

