@@ -390,9 +390,26 @@ def merge_union_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return _merged(spark, sf, "union_with_prefix")
 
 
-@query()
+@query(
+    _STEPS.split(", o AS (", 1)[0]
+    + f""", o AS (
+  SELECT override_row_id AS ord, {_acc('run_accession')} AS ro, {_acc('sample_accession')} AS so, lower(trim(merge_strategy)) AS s, unnest(map_keys(override_values)) AS k, unnest(map_values(override_values)) AS v FROM override_rows
+), hit AS (
+  SELECT DISTINCT r.run_accession, o.ord, o.s, o.k, o.v FROM r JOIN o ON r.run_accession = o.ro WHERE trim(v) <> ''
+  UNION SELECT DISTINCT r.run_accession, o.ord, o.s, o.k, o.v FROM r JOIN o ON r.sample_accession = o.so WHERE trim(v) <> ''
+), steps AS (
+  SELECT run_accession, -1 AS ord, 'override' AS s, 'rep' AS k, instrument_platform AS v FROM r UNION ALL SELECT run_accession, -1, 'override', 'library_kit', library_layout FROM r UNION ALL SELECT * FROM hit
+), lists AS (
+  SELECT run_accession, k, list(struct_pack(s := s, v := v, r := CAST(NULL AS VARCHAR), l := CAST(NULL AS VARCHAR)) ORDER BY ord) AS steps FROM steps GROUP BY ALL
+), f AS (
+  SELECT run_accession, k, list_reduce(steps, lambda a, x: struct_pack(s := a.s,
+    v := CASE WHEN a.v IS NULL OR x.s NOT IN ('prefer_remote', 'union_with_prefix') THEN x.v ELSE a.v END,
+    r := CASE WHEN x.s = 'union_with_prefix' AND a.v <> x.v THEN a.v ELSE a.r END, l := CASE WHEN x.s = 'union_with_prefix' AND a.v <> x.v THEN x.v ELSE a.l END)) AS z FROM lists
+)
+SELECT run_accession, k AS field, z.v AS value FROM f UNION ALL SELECT run_accession, 'remote_' || k, z.r FROM f WHERE z.r IS NOT NULL UNION ALL SELECT run_accession, 'local_' || k, z.l FROM f WHERE z.l IS NOT NULL"""
+)
 def merge_mixed(spark: SparkSession, sf: str) -> DataFrame:
-    """Each override row by its own strategy; checked against a plain fold in the tests."""
+    """Each override row by its own strategy, in order."""
     return _merged(spark, sf, None)
 
 
