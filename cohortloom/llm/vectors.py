@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
@@ -70,13 +71,6 @@ def orderings(size: int, curves: int, dims: int, seed: int) -> list[tuple[np.nda
     return out
 
 
-def usable(vector: str, size: int) -> Column:
-    """Whether the vector has exactly ``size`` finite values that are not all equal."""
-    v = F.col(vector)
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return v.isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != F.get(v, F.lit(0)))
-
-
 def _as_matrix(column: pa.Array, kind: type) -> np.ndarray:
     """The rows of a column of equally long binaries as a matrix."""
     data = b"".join(column.to_pylist())
@@ -320,25 +314,28 @@ def _blocks_of(parts: np.ndarray, spots: list[np.ndarray], keys: list[np.ndarray
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pack(spots), pack(keys), pack(z), pa.array([head] * len(spots))], names=["part", "spots", "keys", "z", "head"])
 
 
-def _unit(vectors: DataFrame) -> DataFrame:
-    """Rows ``key, vec`` as ``key, print, z``: the centred vector of length one as binary doubles, and its digest to twelve places.
+def _unit(df: DataFrame, key: str, vector: str, size: int) -> DataFrame:
+    """``key, print, z`` of the rows with exactly ``size`` finite values that are not all equal.
 
+    ``z`` is the centred vector of length one as binary doubles, ``print`` its digest to twelve places.
     Rows that differ in scale and level alone have one print, but where rounding parts them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("vec")
-            x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 1))
-            scale = np.abs(x).max(1, keepdims=True, initial=0.0)
-            x = x / np.where(scale > 0, scale, 1.0)  # so that very large values do not overflow
+            long_enough = pc.fill_null(pc.equal(pc.list_value_length(batch.column("vec")), size), False)
+            rows = batch.filter(long_enough)
+            x = rows.column("vec").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)  # a null value is NaN
+            good = np.isfinite(x).all(1) & (x.max(1, initial=-np.inf) > x.min(1, initial=np.inf))
+            x = x[good]
+            x = x / np.abs(x).max(1, keepdims=True, initial=0.0)  # so that very large values do not overflow
             z = x - x.mean(1, keepdims=True)
             norm = np.sqrt((z * z).sum(1, keepdims=True))
             z /= np.where(norm > 0, norm, 1.0)
             prints = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in np.round(z, 12) + 0.0]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in z], pa.binary())], names=["key", "print", "z"])
+            yield pa.RecordBatch.from_arrays([rows.column("key").filter(pa.array(good)), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in z], pa.binary())], names=["key", "print", "z"])
 
-    return vectors.select("key", "vec").mapInArrow(run, "key long, print binary, z binary")
+    return df.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vec")).mapInArrow(run, "key long, print binary, z binary")
 
 
 def _similarity(pairs: DataFrame) -> DataFrame:
@@ -357,7 +354,7 @@ def nearest(df: DataFrame, key: str, vector: str, size: int, k: int = 5, least:
     """``key, other, sim, rank_no``: for every row the ``k`` rows that correlate best with it.
 
     ``sim`` is the Pearson correlation to six places; equal ones are ranked by the smaller key. With
-    ``least``, pairs below it are left out. Rows whose vector is null, has another length, a value that
+    ``least``, pairs below it are left out. Rows without key, or whose vector is null, has another length, a value that
     is null, NaN or infinite, or only equal values, take no part.
 
     Rows with the same profile, whatever its scale and level, are one vector, with their ``k + 1`` smallest
@@ -368,8 +365,7 @@ def nearest(df: DataFrame, key: str, vector: str, size: int, k: int = 5, least:
 
     Each curve may miss a near vector; all miss it rarely, and more curves miss less (see README).
     """
-    valid = df.where(usable(vector, size)).select(F.col(key).cast("long").alias("key"), F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
-    valid = cut_lineage(_unit(valid))
+    valid = cut_lineage(_unit(df.where(F.col(key).isNotNull()), key, vector, size))
     by_print = Window.partitionBy("print").orderBy("key")
     smallest = valid.withColumn("n", F.row_number().over(by_print)).where(F.col("n") <= k + 1)
     groups = cut_lineage(smallest.groupBy("print").agg(F.min("key").alias("rep"), F.array_sort(F.collect_list("key")).alias("copies"), F.min_by("z", "key").alias("z")))

@@ -59,7 +59,7 @@ def test_recall_without_threshold(spark):
 
 def test_unusable_vectors_and_empty(spark):
     ok, other = [float(i) for i in range(4)], [0.0, 1.0, 2.0, 3.5]
-    rows = [(1, ok), (2, other), (3, None), (4, [1.0] * 4), (5, [1.0, None, 2.0, 3.0]), (6, [1.0, float("nan"), 2.0, 3.0]), (7, [1.0, float("inf"), 2.0, 3.0]), (8, [1.0, 2.0]), (9, []), (10, [1e300, -1e300, 1e300, 2.0])]
+    rows = [(1, ok), (2, other), (3, None), (4, [1.0] * 4), (5, [1.0, None, 2.0, 3.0]), (6, [1.0, float("nan"), 2.0, 3.0]), (7, [1.0, float("inf"), 2.0, 3.0]), (8, [1.0, 2.0]), (9, []), (None, ok), (10, [1e300, -1e300, 1e300, 2.0])]
     df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
     assert {tuple(r) for r in V.neighbour_pairs(V.nearest(df, "row_key", "row_values", 4, 5, 0.9)).collect()} == {(1, 2)}
     assert V.nearest(df.limit(0), "row_key", "row_values", 4, 5, 0.9).count() == 0
