@@ -37,10 +37,10 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     Works from the highest bit down, undoing the curve's reflections and rotations in all dimensions,
     then takes the Gray code and interleaves the bits; at most 63 in all.
     """
-    x = cells.astype(np.int64).T.copy()
-    dims = len(x)
+    x = np.ascontiguousarray(cells.T, np.int8 if bits < 8 else np.int64)
+    dims, one = len(x), x.dtype.type(1)
     for level in range(bits - 1, 0, -1):
-        q = np.int64(1) << level
+        q = one << level
         low = q - 1
         for d in range(dims):
             set_ = (x[d] & q) != 0
@@ -51,13 +51,13 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
         x[d] ^= x[d - 1]
     flip = np.zeros_like(x[0])
     for level in range(bits - 1, 0, -1):
-        q = np.int64(1) << level
+        q = one << level
         flip ^= np.where((x[-1] & q) != 0, q - 1, 0)
     x ^= flip
-    key = np.zeros_like(x[0])
+    key = np.zeros(x.shape[1], np.int64)
     for level in range(bits - 1, -1, -1):
         for d in range(dims):
-            key = key << 1 | ((x[d] >> level) & 1)
+            key = key << 1 | ((x[d] >> level) & one)
     return key
 
 
@@ -92,19 +92,17 @@ def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: floa
     compared again in doubles; then only the rounding of the vectors is left, and of those which it
     leaves undecided none is cut.
     """
-    order = np.argsort(keys, kind="stable")
-    self_ = order.argsort()[:own][:, None] == np.arange(len(keys))
-    sims = z[:own] @ z[order].T
-    sims[self_] = -2.0
+    sims = z[:own] @ z.T
+    sims[np.arange(own), np.arange(own)] = -2.0
     floor = -1.5 if least is None else least - SLACK
     keep = sims >= floor
-    crowded = np.flatnonzero(keep.sum(1) > k)
+    crowded = np.flatnonzero(np.count_nonzero(keep, axis=1) > k)
     if len(crowded):
+        order = np.argsort(keys, kind="stable")
         exact = z[crowded].astype(np.float64) @ z[order].T.astype(np.float64)
-        exact[self_[crowded]] = -2.0
-        keep[crowded] &= _first(np.round(exact - ERROR, 6), np.round(exact + ERROR, 6), k)
-    a, b = np.nonzero(keep)
-    return a, order[b]
+        exact[keys[crowded][:, None] == keys[order]] = -2.0
+        keep[crowded[:, None], order] &= _first(np.round(exact - ERROR, 6), np.round(exact + ERROR, 6), k)
+    return np.nonzero(keep)
 
 
 def curve_count(vectors: int) -> int:
@@ -225,7 +223,8 @@ def curve_candidates(
     none = np.empty(0, np.int64)
     cuts = {c: (none, none) for c in range(len(maps))}
     if parts > 1:
-        some = reps.select("key", "z").sample(min(1.0, SAMPLED * parts / max(1, count)), seed=seed)
+        share = min(1.0, SAMPLED * parts / max(1, count))  # by the keys' hash, so that the cuts are the same in each run
+        some = reps.select("key", "z").where(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
         rows = some.mapInArrow(spots_of_sample, "curve int, spot long, key long").groupBy("curve").applyInArrow(cut, "curve int, spots array<long>, keys array<long>")
         cuts |= {r["curve"]: (np.array(r["spots"], np.int64), np.array(r["keys"], np.int64)) for r in rows.collect()}
     first_part = np.cumsum([0, *(len(cuts[c][0]) + 1 for c in range(len(maps)))])
