@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.scalars import is_versioned, strip_version
 
-#: Annotation tables up to this many rows are broadcast, after a count; a genome has fewer genes.
-ANNOTATION_ROWS = 500_000
+#: Annotation tables up to this many bytes are broadcast, after they are measured; a genome's genes take less.
+ANNOTATION_BYTES = 64 << 20
 
 
 def gtf_records(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -35,9 +35,10 @@ def tx2gene(records: DataFrame) -> DataFrame:
 
 
 def _ready(annotation: DataFrame, key: str) -> DataFrame:
-    """One row per id; broadcast only if it is short."""
+    """One row per id; broadcast only if it is small."""
     once = annotation.groupBy(strip_version(key).alias("__id")).agg(F.min_by(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in annotation.columns if c != key]), F.col(key)).alias("__a"))
-    return F.broadcast(once) if annotation.limit(ANNOTATION_ROWS + 1).count() <= ANNOTATION_ROWS else once
+    size = once.agg(F.sum(F.octet_length(F.to_json("__a")) + F.octet_length(F.col("__id").cast("string")))).first()[0]
+    return F.broadcast(once) if (size or 0) <= ANNOTATION_BYTES else once
 
 
 def annotate(table: DataFrame, annotation: DataFrame, gene: str = "gene_id", key: str = "gene_id", prefix: str = "") -> DataFrame:

@@ -17,6 +17,7 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # files of tables that nobody holds any more
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | conf
