@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators.skew import SHARD_ROWS, heavy_keys, replicate, spread
 from cohortloom.session import cut_lineage
 
-#: Orderings up to ``CURVES_FOR`` vectors, and one more for each doubling beyond, since neighbours lie closer then
+#: Orderings up to ``CURVES_FOR`` vectors, and two more for each doubling beyond, since neighbours lie closer then
 #: and each ordering misses more; projected dimensions and bits of each; rows of a window, which is compared with
 #: itself and the ones next to it.
 CURVES, CURVES_FOR, DIMS, BITS, WINDOW = 12, 1 << 17, 15, 4, 256
@@ -107,7 +107,7 @@ def _window_pairs(keys: np.ndarray, z: np.ndarray, own: int, k: int, least: floa
 
 def curve_count(vectors: int) -> int:
     """Orderings for so many vectors."""
-    return CURVES + max(0, math.ceil(math.log2(max(1, vectors) / CURVES_FOR)))
+    return CURVES + max(0, math.ceil(2 * math.log2(max(1, vectors) / CURVES_FOR)))
 
 
 _FIRST = np.iinfo(np.int64).min

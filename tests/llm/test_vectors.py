@@ -156,4 +156,4 @@ def test_small_parts_find_the_same(spark):
 
 
 def test_orderings_grow_with_the_input():
-    assert V.curve_count(0) == V.curve_count(1 << 17) == V.CURVES and V.curve_count((1 << 17) + 1) == V.CURVES + 1 and V.curve_count(1 << 30) == V.CURVES + 13
+    assert V.curve_count(0) == V.curve_count(1 << 17) == V.CURVES and V.curve_count((1 << 17) + 1) == V.CURVES + 1 and V.curve_count(1 << 30) == V.CURVES + 26
