@@ -43,13 +43,12 @@ _MONTH_FIRST = r"^([A-Za-z]{3,9})\.?[-/. ]+([0-9]{1,2})(?:st|nd|rd|th)?(?:,\s*|[
 
 
 def _month(text: Column) -> Column:
-    """A month's number, two digits, from digits or an English name of three letters or in full."""
-    low = F.lower(text)
-    out = F.when(low.rlike("^[0-9]{1,2}$"), F.lpad(low, 2, "0"))
+    """A month's number, two digits, from digits or an English name of three letters or in full; one look-up, so ``text`` is made once."""
+    number = {}
     for i, name in enumerate(MONTHS, 1):
-        short = [name, name[:3]] + (["sept"] if name == "september" else [])
-        out = out.when(low.isin(*short), f"{i:02d}")
-    return out
+        for written in (str(i), f"{i:02d}", name, name[:3], *(["sept"] if name == "september" else [])):
+            number[written] = f"{i:02d}"
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), F.lower(text))
 
 
 def _date(v: Column) -> Column:
@@ -63,7 +62,7 @@ def _date(v: Column) -> Column:
         .when(v.rlike(_DAY_FIRST), build(_DAY_FIRST, 3, 2, 1))
         .when(v.rlike(_MONTH_FIRST), build(_MONTH_FIRST, 3, 1, 2))
     )
-    return F.date_format(text.try_cast("date"), "yyyy-MM-dd")
+    return text.try_cast("date").cast("string")
 
 
 def typed_text(value: Column, value_type: Column) -> Column:
