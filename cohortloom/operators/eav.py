@@ -65,10 +65,14 @@ def _date(v: Column) -> Column:
     return text.try_cast("date").cast("string")
 
 
-def typed_text(value: Column, value_type: Column) -> Column:
-    """``value`` in the one written form of its type, or null if it is unusable or not wholly of it."""
+def usable_text(value: Column) -> Column:
+    """``value`` without outer white space, or null if it stands for no value."""
     v = strip(value)
-    usable = F.when(~F.lower(v).isin(*UNUSABLE), v)
+    return F.when(~F.lower(v).isin(*UNUSABLE), v)
+
+
+def typed_usable(usable: Column, value_type: Column) -> Column:
+    """A usable text in the one written form of its type, or null if it is not wholly of it."""
     return (
         F.when(value_type == "integer", _integer(usable))
         .when(value_type == "decimal", _decimal(usable))
@@ -78,6 +82,11 @@ def typed_text(value: Column, value_type: Column) -> Column:
     )
 
 
+def typed_text(value: Column, value_type: Column) -> Column:
+    """``value`` in the one written form of its type, or null if it is unusable or not wholly of it."""
+    return typed_usable(usable_text(value), value_type)
+
+
 def mapped_fields(column_map: DataFrame) -> DataFrame:
     """``field, canonical_field, value_type`` of the mapped source columns, one row per field."""
     return (
@@ -106,9 +115,10 @@ def resolve_pairs(metadata: DataFrame, column_map: DataFrame) -> DataFrame:
         accession("run_accession").alias("run_accession"), field_key("field_name").alias("field"),
         "field_value", F.struct("updated_at", "meta_id").alias("__ord"),
     ).where(F.col("run_accession").isNotNull())
-    raw = strip("field_value")
-    rows = rows.join(small, "field").withColumn("cell", typed_text(F.col("field_value"), F.col("value_type")))
-    rows = rows.withColumn("bad", F.when(F.col("cell").isNull() & ~F.lower(raw).isin(*UNUSABLE), raw))
+    # In steps, so that each is made once a row and not wherever the next one names it.
+    rows = rows.join(small, "field").withColumn("__usable", usable_text(F.col("field_value")))
+    rows = rows.withColumn("cell", typed_usable(F.col("__usable"), F.col("value_type")))
+    rows = rows.withColumn("bad", F.when(F.col("cell").isNull(), F.col("__usable")))
     cells = rows.groupBy("run_accession", "canonical_field").agg(
         F.max_by(F.when(F.col("cell").isNotNull(), F.col("cell")), F.when(F.col("cell").isNotNull(), F.col("__ord"))).alias("cell"),
         F.max_by("bad", F.when(F.col("bad").isNotNull(), F.col("__ord"))).alias("bad"),
