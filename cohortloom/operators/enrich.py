@@ -18,7 +18,8 @@ def bh_adjust(df: DataFrame, group: list[str], p: str = "p_value", name: str = "
     by_p = known.orderBy(p, *(order or []))
     rank, n = F.row_number().over(by_p), F.count(p).over(known)
     marked = df.withColumns({"__raw": F.col(p) * n / rank, "__rank": rank})
-    later = Window.partitionBy(*group, F.col(p).isNull()).orderBy("__rank").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # From the last rank down, since a frame that grows at its end is kept up row by row.
+    later = Window.partitionBy(*group, F.col(p).isNull()).orderBy(F.col("__rank").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return marked.withColumn(name, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("__raw").over(later)))).drop("__raw", "__rank")
 
 

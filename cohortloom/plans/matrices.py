@@ -329,7 +329,8 @@ def module_tstats(spark: SparkSession, sf: str) -> DataFrame:
     long = _embedding_long(spark, sf)
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("gene"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("module_id"))
     profiles = matrix.to_vectors(modules.eigengenes(labels, long), list(range(VECTOR_SIZE)), "module_id")
-    stats = modules.module_tstats(_embedding_vectors(spark, sf), profiles, VECTOR_SIZE)
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("gene_id"), F.col("embedding").cast("array<double>").alias("values"))
+    stats = modules.module_tstats(rows, profiles, VECTOR_SIZE)
     return stats.select("module_id", "gene_id", (F.round("r", 6) + 0.0).alias("r"), (F.round("t", 5) + 0.0).alias("t"))
 
 
