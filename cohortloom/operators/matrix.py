@@ -126,6 +126,20 @@ def select_genes(long: DataFrame, spec: str = "all", genes: DataFrame | None = N
     return numbered(chosen.select(gene), [gene], "place")
 
 
+def chosen_genes(long: DataFrame, spec: str = "all", genes: DataFrame | None = None, gene: str = "gene_id") -> DataFrame:
+    """``select_genes`` for a correlation: a matrix of fewer than two genes passes as it is, a selection of
+    fewer than two is an error, and one of all genes keeps the matrix's own order."""
+    everything = numbered(long.select(gene).distinct(), [gene], "place")
+    total = everything.count()
+    if total < 2:
+        return everything
+    chosen = cut_lineage(select_genes(long, spec, genes, gene))
+    n = chosen.count()
+    if n < 2:
+        raise ValueError(f"gene set {spec!r} selects fewer than 2 genes ({n})")
+    return everything if n == total else chosen
+
+
 def subset(long: DataFrame, chosen: DataFrame, gene: str = "gene_id") -> DataFrame:
     """The cells of the chosen genes."""
     return long.join(chosen.select(gene), gene, "left_semi")

@@ -48,7 +48,7 @@ def run_correlation(
     Spearman's correlation, at least two genes and three samples.
     """
     samples = matrix.sample_order(long, sample)
-    chosen = matrix.select_genes(long, config.geneset, genes)
+    chosen = matrix.chosen_genes(long, config.geneset, genes)
     if gene_sets is not None and len(samples) < 3:
         raise ValueError("modules need at least three samples")
     if gene_sets is not None and not gene_sets.limit(1).count():

@@ -67,19 +67,26 @@ def read_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     return df.select(F.col(f"`{gene}`").alias("gene_id"), F.array(*[cell(c) for c in samples]).alias("values")), samples
 
 
+#: Rows of an archived matrix that a task holds at a time.
+ARCHIVE_ROWS = 4_096
+
+
 def read_matrix_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The first table in each ``.tar.gz``: long rows ``path, gene_id, sample_id, value``."""
+    """The first table in each ``.tar.gz``: long rows ``path, gene_id, sample_id, value``.
+
+    An archive is one task's, which reads its table in pieces and never holds it unpacked.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as archive:
-                    member = next((m for m in archive.getmembers() if m.isfile() and m.name.endswith((".tsv", ".txt"))), None)
-                    if member is None:
-                        continue
-                    wide = pd.read_csv(archive.extractfile(member), sep="\t", dtype={0: str})
-                wide = wide.rename(columns={wide.columns[0]: "gene_id"})
-                yield wide.melt("gene_id", var_name="sample_id").assign(path=name)[["path", "gene_id", "sample_id", "value"]].astype({"gene_id": str, "value": float})
+                    for member in archive:
+                        if member.isfile() and member.name.endswith((".tsv", ".txt")):
+                            for wide in pd.read_csv(archive.extractfile(member), sep="\t", dtype={0: str}, chunksize=ARCHIVE_ROWS):
+                                wide = wide.rename(columns={wide.columns[0]: "gene_id"})
+                                yield wide.melt("gene_id", var_name="sample_id").assign(path=name)[["path", "gene_id", "sample_id", "value"]].astype({"gene_id": str, "value": float})
+                            break
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, gene_id string, sample_id string, value double")
 
@@ -129,6 +136,14 @@ def read_abundance(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("target_id").alias("tx"), run.alias("sample_id"), F.col("est_counts").try_cast("double").alias("counts"), F.col("tpm").try_cast("double").alias("tpm"), F.col("eff_length").try_cast("double").alias("eff_length"))
 
 
+def abundance_status(sheet: DataFrame, abundance: DataFrame, key: str = "run_accession") -> DataFrame:
+    """The runs of a samplesheet with ``status``: ``valid``, ``missing`` where a run has no table or an empty one, ``broken`` where a figure is none or below 0."""
+    bad = [F.col(c).isNull() | F.isnan(c) | (F.col(c) < 0) for c in ("counts", "tpm", "eff_length")]
+    seen = abundance.groupBy(F.col("sample_id").alias(key)).agg(F.bool_or(bad[0] | bad[1] | bad[2] | F.col("tx").isNull()).alias("__broken"))
+    joined = sheet.select(key).distinct().join(seen, key, "left")
+    return joined.select(key, F.when(F.col("__broken").isNull(), "missing").when(F.col("__broken"), "broken").otherwise("valid").alias("status"))
+
+
 def read_tx2gene(spark: SparkSession, path: str) -> DataFrame:
     """``tx, gene_id`` from the first two columns; the first gene of a transcript counts."""
     df = _tsv(spark, path)

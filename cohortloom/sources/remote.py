@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import time
 import urllib.parse
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -13,11 +15,29 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from cohortloom.sources.readers import REPORT_COLUMNS
 
 
+T = TypeVar("T")
+#: Seconds before each new try, and before those beyond the schedule.
+SCHEDULE, FALLBACK = (1.0, 5.0, 15.0), 30.0
+
+
+def with_retries(fetch: Callable[[], T], retries: int = 3, schedule: tuple[float, ...] = SCHEDULE, sleep: Callable[[float], None] = time.sleep) -> T:
+    """What ``fetch`` gives, tried again after an error of the network at most ``retries`` times; the last error is raised."""
+    for n in range(retries + 1):
+        try:
+            return fetch()
+        except OSError:
+            if n == retries:
+                raise
+            sleep(schedule[n] if n < len(schedule) else FALLBACK)
+    raise AssertionError("unreachable")
+
+
 class ReportReader(DataSourceReader):
-    """One partition per accession; each asks the service for its rows."""
+    """One partition per accession; each asks the service for its rows, again if the network fails (option ``retries``)."""
 
     def __init__(self, options: dict) -> None:
         self.url = options["url"]
+        self.retries = int(options.get("retries", 3))
         self.accessions = [a for a in options.get("accessions", "").split(",") if a]
 
     def partitions(self) -> list[InputPartition]:
@@ -27,9 +47,13 @@ class ReportReader(DataSourceReader):
         if partition.value is None:
             return
         query = urllib.parse.urlencode({"accession": partition.value, "result": "read_run", "format": "json", "fields": ",".join(REPORT_COLUMNS)})
-        with urllib.request.urlopen(f"{self.url}?{query}", timeout=60) as reply:
-            for row in json.load(reply):
-                yield tuple(None if row.get(c) is None else str(row[c]) for c in REPORT_COLUMNS)
+
+        def fetch() -> list[dict]:
+            with urllib.request.urlopen(f"{self.url}?{query}", timeout=60) as reply:
+                return json.load(reply)
+
+        for row in with_retries(fetch, self.retries):
+            yield tuple(None if row.get(c) is None else str(row[c]) for c in REPORT_COLUMNS)
 
 
 class ReportSource(DataSource):

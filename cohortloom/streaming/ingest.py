@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +41,22 @@ def stage_counts(stream: DataFrame, time: str, kind: str, window: str = "1 hour"
 def current_states(stream: DataFrame, key: str, seq: str, state: str) -> DataFrame:
     """The state of the highest ``seq`` of each key so far, for complete or update output."""
     return stream.groupBy(key).agg(F.max_by(state, seq).alias(state), F.max(seq).alias(seq))
+
+
+def alongside(query: StreamingQuery, step: Callable[[], bool], idle: float = 2.0) -> int:
+    """Run batch work while a stream goes on: ``step`` is called again and again, after a pause where it
+    found nothing to do, and until nothing is left once the stream has ended. Gives the steps that did something.
+
+    An error of the stream is raised after the work that it left is done.
+    """
+    done = 0
+    while query.isActive:
+        if step():
+            done += 1
+        else:
+            time.sleep(idle)
+    while step():
+        done += 1
+    if query.exception() is not None:
+        raise query.exception()
+    return done

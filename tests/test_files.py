@@ -170,3 +170,30 @@ def test_remote_source_is_known(spark):
 
     register(spark)
     assert spark.read.format("run_reports").option("url", "http://localhost:9").load().count() == 0
+
+
+def test_retries(monkeypatch):
+    from cohortloom.sources.remote import with_retries
+
+    waits, tries = [], []
+
+    def flaky(fail):
+        def fetch():
+            tries.append(1)
+            if len(tries) <= fail:
+                raise OSError("no network")
+            return "rows"
+
+        return fetch
+
+    assert with_retries(flaky(4), 5, sleep=waits.append) == "rows" and waits == [1.0, 5.0, 15.0, 30.0]
+    tries.clear()
+    with pytest.raises(OSError):
+        with_retries(flaky(9), 2, sleep=waits.append)
+    assert len(tries) == 3
+
+
+def test_abundance_status(spark):
+    sheet = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "run_accession string")
+    rows = spark.createDataFrame([("t", "a", 1.0, 2.0, 3.0), ("u", "a", 0.0, 0.0, 1.0), ("t", "b", None, 2.0, 3.0), ("t", "c", 1.0, float("nan"), 3.0), ("t", "x", 1.0, 1.0, 1.0)], "tx string, sample_id string, counts double, tpm double, eff_length double")
+    assert {tuple(r) for r in R.abundance_status(sheet, rows).collect()} == {("a", "valid"), ("b", "broken"), ("c", "broken"), ("d", "missing")}

@@ -249,6 +249,15 @@ def test_transformations_even_out_the_variance(spark):
         normalize.stabilized(long, factors, names, "log")
 
 
+def test_chosen_genes(spark):
+    long = spark.createDataFrame([(g, f"s{j}", float(v * j)) for g, v in (("c", 1), ("a", 3), ("b", 2)) for j in range(4)], "gene_id string, sample_id string, value double")
+    places = lambda df: [r.gene_id for r in df.orderBy("place").collect()]
+    assert places(matrix.chosen_genes(long, "topvar:2")) == ["a", "b"] and places(matrix.chosen_genes(long, "topvar:3")) == ["a", "b", "c"]
+    assert places(matrix.chosen_genes(long.where("gene_id = 'a'"), "regex:zzz")) == ["a"]
+    with pytest.raises(ValueError):
+        matrix.chosen_genes(long, "topvar:1")
+
+
 def test_average_rank(spark):
     df = spark.createDataFrame([("a", 2.0), ("a", 1.0), ("a", 2.0), ("a", 5.0)], "g string, v double")
     assert sorted(r["rank"] for r in matrix.average_rank(df, ["g"], "v").collect()) == [1.0, 2.5, 2.5, 4.0]

@@ -29,3 +29,21 @@ def test_windows_and_states(spark, tmp_path):
     states = ingest.current_states(stream, "key", "seq", "state").writeStream.outputMode("complete").format("memory").queryName("states").trigger(availableNow=True).start()
     states.awaitTermination()
     assert {r.key: r.state for r in spark.table("states").collect()} == {"k0": "s8", "k1": "s7"}
+
+
+def test_batch_work_alongside_a_stream(spark, tmp_path):
+    source, log, mark = (str(tmp_path / n) for n in ("in", "log", "mark"))
+    for i in range(3):
+        spark.createDataFrame([(i, f"k{i}", "NEW", D(2024, 1, 1))], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    seen = set()
+
+    def step():
+        import os
+
+        ready = {d for d in (os.listdir(log) if os.path.isdir(log) else []) if os.path.exists(f"{log}/{d}/_SUCCESS")} - seen
+        if not ready:
+            return False
+        seen.add(ready.pop())
+        return True
+
+    assert ingest.alongside(ingest.append_log(ingest.stream_events(spark, source, SCHEMA, 1), log, mark), step, 0.05) == len(seen) == 3
