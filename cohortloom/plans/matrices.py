@@ -216,7 +216,13 @@ def corr_bicor(spark: SparkSession, sf: str) -> DataFrame:
     return _edges(pairwise(_ordered(vectors), "bicor", len(samples)))
 
 
-@query()
+@query(
+    f"""WITH {_COUNTS}, {_RANKED}, size AS (SELECT count(DISTINCT sample_id) AS n FROM rk), u AS (SELECT gene_id, sample_id, value / (n + 1) AS u FROM rk, size),
+pr AS (SELECT a.gene_id AS ga, b.gene_id AS gb, a.sample_id AS s, a.u AS x, b.u AS y FROM u a JOIN u b ON a.sample_id = b.sample_id AND a.gene_id < b.gene_id),
+near AS (SELECT p.ga, p.gb, p.s, min((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y)) AS d FROM pr p JOIN pr q ON p.ga = q.ga AND p.gb = q.gb AND p.s <> q.s GROUP BY ALL),
+aff AS (SELECT ga, gb, least(1.0, 2 * sqrt(any_value(n) - 1.0) / any_value(n) * sum(sqrt(d))) AS b FROM near, size GROUP BY ga, gb)
+SELECT ga AS gene_a, gb AS gene_b, round(CASE WHEN b > 0 THEN least(1.0, 2 / (b * b) * sqrt(greatest(0.0, pow(b, 4) + sqrt(greatest(0.0, 4 - 3 * pow(b, 4))) - 2))) ELSE 1.0 END, 6) + 0.0 AS r FROM aff"""
+)
 def corr_hellcor(spark: SparkSession, sf: str) -> DataFrame:
     vectors, samples = _count_vectors(spark, sf)
     return _edges(pairwise(_ordered(vectors), "hellcor", len(samples)))
