@@ -15,6 +15,8 @@ METHODS = ("pearson", "spearman", "kendall", "bicor", "hellcor")
 #: Bytes of one block's vectors, the most rows it has, and the rows whose products a task holds at a time. Each
 #: block travels once for each other one, so they are large, and are cut into tiles only where they have met.
 BLOCK_BYTES, BLOCK_ROWS, TILE_ROWS = 16 << 20, 4096, 512
+#: Values of a row up to which Kendall's tau is a matrix product of the signs of all differences; wider rows are sorted.
+SIGN_WIDTH = 1024
 #: Decimals to which correlations are rounded before they are ranked, so that ties stay ties.
 DECIMALS = 9
 
@@ -51,28 +53,102 @@ def spearman_vectors(x: np.ndarray) -> np.ndarray:
     return pearson_vectors(ranks(x))
 
 
-def kendall_signs(x: np.ndarray) -> np.ndarray:
-    """Signs of all differences in a row, a byte each: the cosine of two such rows is Kendall's tau-b."""
-    i, j = np.triu_indices(x.shape[1], 1)
-    out = np.empty((len(x), len(i)), np.int8)
-    step = max(1, (1 << 22) // max(1, len(i)))
-    for k in range(0, len(x), step):
-        rows = x[k : k + step]
-        out[k : k + step] = np.sign(rows[:, i] - rows[:, j])
+def dense_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks from 0 along the rows without gaps, equal values sharing one; NaN has -1."""
+    order = np.argsort(x, axis=1, kind="stable")
+    ordered = np.take_along_axis(x, order, 1)
+    place = np.zeros(x.shape, np.int32)
+    np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=place[:, 1:])
+    out = np.empty(x.shape, np.int32)
+    np.put_along_axis(out, order, place, 1)
+    out[np.isnan(x)] = -1
     return out
 
 
-def sign_products(a: np.ndarray, b: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
-    """Cosines of rows of signs; the sums are whole numbers, so they are exact."""
+def _signs(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Signs of the differences of the ranks at ``i`` and ``j``; 0 where either is -1."""
+    left, right = x[:, i], x[:, j]
+    return np.sign(left - right).astype(np.float32) * ((left >= 0) & (right >= 0))
+
+
+def sign_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of the products of all signs of differences in two rows of ranks, by matrix products; the sums are whole
+    numbers, so they are exact. What is held at a time is bounded whatever the width."""
+    total = np.zeros((len(a), len(b)))
+    n, step = a.shape[1], max(1, min(1 << 16, (1 << 22) // max(1, len(a) + len(b))))
+    i, j = np.triu_indices(n, 1)
+    for k in range(0, len(i), step):
+        at = i[k : k + step], j[k : k + step]
+        total += _signs(a, *at) @ _signs(b, *at).T
+    return total
+
+
+def _inversions(order: np.ndarray, bits: int) -> np.ndarray:
+    """For each row, a permutation of 2**bits numbers, how many pairs of them stand in the wrong order.
+
+    Numbers that differ first at a bit lie in one group of the numbers with equal higher bits, of which half
+    have the bit. How often one with it stands before one without is the sum of the latter's places, less
+    what it were if they all came first.
+    """
+    rows, flat, total = len(order), order.ravel(), np.zeros(len(order), np.int64)
+    for bit in range(bits - 1, -1, -1):
+        half = 1 << bit
+        without = (flat & half) == 0
+        total += (np.flatnonzero(without) & (2 * half - 1)).reshape(rows, -1).sum(1) - (order.shape[1] // (2 * half)) * (half * (half - 1) // 2)
+        flat = np.stack([flat[without].reshape(-1, half), flat[~without].reshape(-1, half)], axis=1).ravel()
+    return total
+
+
+def _equal_pairs(ordered: np.ndarray) -> np.ndarray:
+    """Pairs of equal values in each row of sorted ones."""
+    at = np.arange(1, ordered.shape[1] + 1)
+    start = np.ones(ordered.shape, bool)
+    start[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    return (at - np.maximum.accumulate(np.where(start, at, 0), axis=1)).sum(1)
+
+
+def ordered_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sums of ``sign_products`` in n log n for each two rows: all pairs less the tied ones, less twice those
+    in opposite order, which are the inversions of one row sorted by the other."""
     total = np.zeros((len(a), len(b)))
-    na, nb = np.zeros(len(a)), np.zeros(len(b))
-    for start in range(0, a.shape[1], chunk):
-        x, y = a[:, start : start + chunk].astype(np.float32), b[:, start : start + chunk].astype(np.float32)
-        total += x @ y.T
-        na += np.abs(x).sum(1, dtype=np.float64)
-        nb += np.abs(y).sum(1, dtype=np.float64)
+    gaps_a, gaps_b = (a < 0).any(1), (b < 0).any(1)
+    whole = np.flatnonzero(~gaps_b)
+    n = a.shape[1]
+    bits = max(1, max(n - 1, int(b.max(initial=0))).bit_length())
+    tied_b, step = _equal_pairs(np.sort(b, axis=1)), max(1, (1 << 20) >> bits)
+    for i in range(len(a)):
+        if gaps_a[i]:
+            continue
+        tied = _equal_pairs(np.sort(a[i : i + 1], axis=1))[0]
+        for k in range(0, len(whole), step):
+            rows = whole[k : k + step]
+            both = np.sort((a[i].astype(np.int64) << bits) + b[rows], axis=1)
+            key = np.full((len(rows), 1 << bits), np.iinfo(np.int64).max)
+            key[:, :n] = (both & ((1 << bits) - 1)) << bits
+            key[:, n:] -= (1 << bits) - 1  # those beyond the row come last
+            opposite = _inversions(np.sort(key + np.arange(1 << bits), axis=1) & ((1 << bits) - 1), bits)
+            total[i, rows] = n * (n - 1) // 2 - tied - tied_b[rows] + _equal_pairs(both) - 2 * opposite
+    for i, j in zip(*np.nonzero(gaps_a[:, None] | gaps_b[None, :]), strict=True):
+        both = (a[i] >= 0) & (b[j] >= 0)
+        if both.sum() > 1:
+            total[i, j] = ordered_products(a[i : i + 1, both], b[j : j + 1, both])[0, 0]
+    return total
+
+
+def _untied(x: np.ndarray) -> np.ndarray:
+    """Pairs of different values in each row of ranks."""
+    n = (x >= 0).sum(1)
+    tied = _equal_pairs(np.sort(x, axis=1))
+    gaps = x.shape[1] - n
+    return n * (n - 1) // 2 - (tied - gaps * (gaps - 1) // 2)
+
+
+def kendall_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Kendall's tau-b of each row of ``a`` with each of ``b``, from their dense ranks: the cosine of the signs of all differences."""
+    total = sign_products(a, b) if a.shape[1] <= SIGN_WIDTH else ordered_products(a, b)
+    scale = np.outer(_untied(a).astype(float), _untied(b).astype(float))
     with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where(np.outer(na, nb) > 0, total / np.sqrt(np.outer(na, nb)), np.nan)
+        return np.where(scale > 0, total / np.sqrt(scale), np.nan)
 
 
 def bicor_vectors(x: np.ndarray) -> np.ndarray:
@@ -85,7 +161,7 @@ def bicor_vectors(x: np.ndarray) -> np.ndarray:
     return np.where(mad > 0, _unit((x - median) * np.where(mad > 0, w, 0.0)), pearson_vectors(x))
 
 
-_VECTORS: dict[str, Callable[[np.ndarray], np.ndarray]] = {"pearson": pearson_vectors, "spearman": spearman_vectors, "kendall": kendall_signs, "bicor": bicor_vectors}
+_VECTORS: dict[str, Callable[[np.ndarray], np.ndarray]] = {"pearson": pearson_vectors, "spearman": spearman_vectors, "kendall": dense_ranks, "bicor": bicor_vectors}
 
 
 def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -111,13 +187,13 @@ def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _rows_of(block: bytes, rows: int, method: str) -> np.ndarray:
-    return np.frombuffer(block, np.int8 if method == "kendall" else np.float64).reshape(rows, -1)
+    return np.frombuffer(block, np.int32 if method == "kendall" else np.float64).reshape(rows, -1)
 
 
 def _products(a: np.ndarray, b: np.ndarray, method: str) -> np.ndarray:
     if method == "hellcor":
         return hellinger_pairs(a, b)
-    return sign_products(a, b) if method == "kendall" else a @ b.T
+    return kendall_products(a, b) if method == "kendall" else a @ b.T
 
 
 def _stack(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -138,10 +214,11 @@ def blocks(vectors: DataFrame, method: str, width: int, gene: str = "gene_id", t
 
     A block holds a bounded number of rows; ``ord`` runs from 1 without gaps.
     """
-    length = width * (width - 1) // 2 if method == "kendall" else 8 * width
+    length = (4 if method == "kendall" else 8) * width
     total = vectors.count() if total is None else total
     slots = max(2, vectors.sparkSession.sparkContext.defaultParallelism)
-    even = max(16, -(-total // slots))  # at least as many blocks as slots, if there are rows for it
+    few = max(1, min(16, (1 << 14) // max(1, width)))  # wide rows are work enough in smaller blocks
+    even = max(few, -(-total // slots))  # at least as many blocks as slots, if there are rows for it
     size = int(max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, length), even)))
     placed = vectors.select(F.floor((F.col("ord") - 1) / size).cast("int").alias("block"), "ord", gene, "values")
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -47,6 +48,45 @@ def test_kernels_against_definitions(spark, x):
             assert got["bicor"][key] == pytest.approx((w[0] * w[1]).sum() / math.sqrt((w[0] ** 2).sum() * (w[1] ** 2).sum()), abs=1e-8)
 
 
+def memory_of(call):
+    tracemalloc.start()
+    out = call()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, peak
+
+
+@pytest.mark.parametrize("method", ["kendall"])
+def test_wide_rows_take_memory_in_proportion(method):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4, 4000))
+    x[1] = np.round(x[1], 1)
+    x[2] = np.where(rng.random(4000) < 0.7, 0.0, x[0])
+    x[3] = x[0] + 0.1 * x[3]
+
+    def run():
+        z = C.prepared(x, method)
+        return C._products(z, C._rows_of(z.tobytes(), 4, method), method)
+
+    got, peak = memory_of(run)
+    assert got.shape == (4, 4) and np.allclose(got, got.T) and peak < 64e6
+    assert len(C.prepared(x, method).tobytes()) <= 8 * x.size
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 64, 65])
+def test_kendall_of_sorted_rows_is_that_of_the_signs(n):
+    rng = np.random.default_rng(n)
+    for decimals, gaps in ((9, 0.0), (0, 0.0), (1, 0.2)):
+        x = np.round(rng.normal(size=(6, n)), decimals)
+        x[rng.random(x.shape) < gaps] = np.nan
+        signs = np.nan_to_num(np.sign(x[:, :, None] - x[:, None, :])).reshape(6, -1)
+        r = C.dense_ranks(x)
+        assert (2 * C.ordered_products(r[:3], r) == signs[:3] @ signs.T).all() and (2 * C.sign_products(r[:3], r) == signs[:3] @ signs.T).all()
+        norm = np.outer((signs[:3] ** 2).sum(1), (signs**2).sum(1))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            assert np.allclose(C.kendall_products(r[:3], r), np.where(norm > 0, (signs[:3] @ signs.T) / np.sqrt(norm), np.nan), equal_nan=True)
+
+
 def test_constant_rows_have_no_edges(spark, x):
     y = np.vstack([x[:5], np.ones((1, 12))])
     edges = C.pairwise(vectors(spark, y), "pearson", 12, top=3)
