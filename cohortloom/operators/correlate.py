@@ -17,6 +17,8 @@ METHODS = ("pearson", "spearman", "kendall", "bicor", "hellcor")
 BLOCK_BYTES, BLOCK_ROWS, TILE_ROWS = 16 << 20, 4096, 512
 #: Values of a row up to which Kendall's tau is a matrix product of the signs of all differences; wider rows are sorted.
 SIGN_WIDTH = 1024
+#: Values of a row up to which the Hellinger correlation takes the distances of all points.
+ALL_DISTANCES = 400
 #: Decimals to which correlations are rounded before they are ranked, so that ties stay ties.
 DECIMALS = 9
 
@@ -164,6 +166,66 @@ def bicor_vectors(x: np.ndarray) -> np.ndarray:
 _VECTORS: dict[str, Callable[[np.ndarray], np.ndarray]] = {"pearson": pearson_vectors, "spearman": spearman_vectors, "kendall": dense_ranks, "bicor": bicor_vectors}
 
 
+def _all_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of the distances to the nearest other point, from the distances of all points; a bounded number of them is held."""
+    n = a.shape[1]
+    square = lambda x: (x[..., :, None] - x[..., None, :]) ** 2
+    diagonal, step = np.arange(n), max(1, (1 << 22) // (n * n))
+    out = np.empty((len(a), len(b)))
+    for k in range(0, len(b), step):
+        sb = square(b[k : k + step])
+        sb[:, diagonal, diagonal] = np.inf
+        for i in range(len(a)):
+            out[i, k : k + step] = np.sqrt((square(a[i]) + sb).min(2)).sum(1)
+    return out
+
+
+def _nearest_distances(x: np.ndarray, y: np.ndarray) -> float:
+    """Sum of the distances to the nearest other point, of at least two points at whole coordinates from 0 on.
+
+    Points that coincide have the distance 0 and are one. The others look for their nearest one in their
+    cell and the 8 around it: first in cells that hold few points, then, those that found none within a
+    cell's width, in cells twice as wide. Ranks leave about sqrt(n) points to a cell's row or column.
+    """
+    bits = max(1, int(max(x.max(), y.max())).bit_length())
+    keys, counts = np.unique((x << bits) + y, return_counts=True)
+    x, y = keys >> bits, keys & ((1 << bits) - 1)
+    open_ = np.flatnonzero(counts == 1)
+    if len(keys) < 2:
+        return 0.0
+    level = bits
+    while level and len(np.unique(((x >> level) << bits) + (y >> level))) * 4 < len(keys):
+        level -= 1
+    best = np.full(len(keys), np.iinfo(np.int64).max)
+    while len(open_):
+        cx, cy = x >> level, y >> level
+        cells = (cx << bits) + cy
+        order = np.argsort(cells, kind="stable")
+        cells, px, py = cells[order], x[order], y[order]
+        for by in (-1, 0, 1):
+            column = ((cx[open_] + by) << bits) + cy[open_]
+            low = np.searchsorted(cells, column - (cy[open_] > 0), "left")
+            high = np.searchsorted(cells, column + (cy[open_] < (1 << bits) - 1), "right")
+            ends = np.cumsum(high - low)
+            done = 0
+            while done < len(open_):  # about so many points at a time
+                base = ends[done - 1] if done else 0
+                until = max(done + 1, int(np.searchsorted(ends, base + (1 << 20), "right")))
+                sizes = (high - low)[done:until]
+                mine, starts = np.repeat(open_[done:until], sizes), np.cumsum(sizes) - sizes
+                other = np.arange(len(mine)) + np.repeat(low[done:until] - starts, sizes)
+                distance = (px[other] - x[mine]) ** 2 + (py[other] - y[mine]) ** 2
+                distance[order[other] == mine] = np.iinfo(np.int64).max
+                some = np.flatnonzero(sizes)
+                if len(some):
+                    at = open_[done:until][some]
+                    best[at] = np.minimum(best[at], np.minimum.reduceat(distance, starts[some]))
+                done = until
+        open_ = open_[best[open_] > (1 << (2 * level))]
+        level += 1
+    return float(np.sqrt(best[counts == 1].astype(float)).sum())
+
+
 def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hellinger correlation of each row of ``a`` with each of ``b``, from ranks scaled into (0, 1).
 
@@ -171,19 +233,16 @@ def hellinger_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     distances to the nearest neighbour, 2 sqrt(n - 1) / n times their sum, and cut off at 1.
     """
     n = a.shape[1]
-    square = lambda x: (x[:, :, None] - x[:, None, :]) ** 2
-    sa, sb = square(a), square(b)
-    diagonal = np.arange(n)
-    out = np.empty((len(a), len(b)))
-    for i in range(len(a)):
-        joint = sa[i][None] + sb
-        joint[:, diagonal, diagonal] = np.inf
-        affinity = np.minimum(1.0, 2.0 * np.sqrt(n - 1.0) / n * np.sqrt(joint.min(2)).sum(1))
-        quartic = affinity**4
-        inner = np.maximum(0.0, quartic + np.sqrt(np.maximum(0.0, 4.0 - 3.0 * quartic)) - 2.0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            out[i] = np.where(affinity > 0, np.minimum(1.0, 2.0 / affinity**2 * np.sqrt(inner)), 1.0)
-    return out
+    if n <= ALL_DISTANCES or not (np.isfinite(a).all() and np.isfinite(b).all()):
+        sums = _all_distances(a, b)
+    else:
+        wa, wb = (np.rint(2.0 * (n + 1.0) * v).astype(np.int64) for v in (a, b))  # ranks are whole or half numbers
+        sums = np.array([[_nearest_distances(x, y) for y in wb] for x in wa]) / (2.0 * (n + 1.0))
+    affinity = np.minimum(1.0, 2.0 * np.sqrt(n - 1.0) / n * sums)
+    quartic = affinity**4
+    inner = np.maximum(0.0, quartic + np.sqrt(np.maximum(0.0, 4.0 - 3.0 * quartic)) - 2.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(affinity > 0, np.minimum(1.0, 2.0 / affinity**2 * np.sqrt(inner)), 1.0)
 
 
 def _rows_of(block: bytes, rows: int, method: str) -> np.ndarray:

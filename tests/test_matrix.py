@@ -56,7 +56,7 @@ def memory_of(call):
     return out, peak
 
 
-@pytest.mark.parametrize("method", ["kendall"])
+@pytest.mark.parametrize("method", ["kendall", "hellcor"])
 def test_wide_rows_take_memory_in_proportion(method):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(4, 4000))
@@ -87,6 +87,17 @@ def test_kendall_of_sorted_rows_is_that_of_the_signs(n):
             assert np.allclose(C.kendall_products(r[:3], r), np.where(norm > 0, (signs[:3] @ signs.T) / np.sqrt(norm), np.nan), equal_nan=True)
 
 
+@pytest.mark.parametrize("n", [2, 3, 40, 401])
+def test_nearest_points_are_those_of_all_distances(n):
+    rng = np.random.default_rng(n)
+    noise = rng.normal(size=(5, n))
+    for x in (noise, np.round(noise), np.where(rng.random(noise.shape) < 0.7, 0.0, noise), noise[0] + 0.01 * noise, np.tile(noise[:, : n // 3 + 1], (1, 3))[:, :n]):
+        u = C.ranks(x) / (n + 1.0)
+        whole = np.rint(2 * (n + 1) * u).astype(np.int64)
+        near = [[C._nearest_distances(a, b) / (2 * (n + 1)) for b in whole] for a in whole]
+        assert np.allclose(near, C._all_distances(u, u), rtol=0, atol=1e-11)
+
+
 def test_constant_rows_have_no_edges(spark, x):
     y = np.vstack([x[:5], np.ones((1, 12))])
     edges = C.pairwise(vectors(spark, y), "pearson", 12, top=3)
