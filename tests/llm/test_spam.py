@@ -110,3 +110,26 @@ def test_more_languages_than_a_broadcast_takes(spark, monkeypatch):
     want = judged(spark, rows)
     monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
     assert judged(spark, rows) == want
+
+
+def test_rare_languages_are_learned_too(spark):
+    tags = ", ".join(f"{a}{b}" for a in ("zestaw", "tani", "gen", "próbka", "odczyn") for b in ("y", "ami", "owe", "ów", "em", "ach"))
+    rows = [(t, "pl") for t in paragraphs("pl", 14)] + [(tags, "pl")]
+    many = rows + [("buy kit", "en")] * (1001 * len(rows))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(many)], "doc_id long, text string, lang string").repartition(4)
+    assert learned_words(df)["pl"] == learned_words(df.where("lang = 'pl'"))["pl"] and "w" in learned_words(df)["pl"]
+    assert judged(spark, many) == judged(spark, rows) == {len(rows) - 1}
+
+
+@pytest.mark.parametrize("languages, words", [(1, 10**6), (3, 10**6), (10, 0)])
+def test_more_learned_words_than_a_broadcast_takes(spark, monkeypatch, languages, words):
+    from cohortloom.llm import spam as module
+
+    rows = [(t, claim) for lang in SENTENCES for t in paragraphs(lang, 12) for claim in (lang, None)] + [(STUFFED[lang] * 30, lang) for lang in SENTENCES] + [(PROSE, "xx"), (None, "yy"), (SPAM["tags"], "zz")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    want = sorted(map(tuple, page_features(df).collect()))
+    monkeypatch.setattr(module, "BROADCAST_LANGUAGES", languages)
+    monkeypatch.setattr(module, "BROADCAST_WORDS", words)
+    common, whole = module.common_languages(module.learned_table(df))
+    assert common[0] == "other-script" and not whole
+    assert sorted(map(tuple, page_features(df).collect())) == want
